@@ -43,11 +43,11 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def acks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third incident counts as acknowledged."""
+    """Finished orders stand in for the acknowledgements of incidents of the same number."""
     return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_id") % 3 == 0)
-        .select(F.col("event_id").cast("string").alias("id"), F.lit("sent").alias("status"))
+        table(spark, sf_dir, "orders")
+        .where(F.col("o_orderstatus") == "F")
+        .select(F.col("o_orderkey").cast("string").alias("id"), F.lit("sent").alias("status"))
     )
 
 
@@ -91,6 +91,35 @@ def messages_of(incidents: DataFrame) -> DataFrame:
     )
 
 
+def _sent(rows: DataFrame, offset: str, *fields: Column) -> DataFrame:
+    return rows.select(
+        (F.col(offset) % 3).cast("int").alias("part"),
+        F.col(offset).alias("off"),
+        F.to_json(F.struct(*fields)).cast("binary").alias("value"),
+    )
+
+
+def public_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as public events; the key is a number, or text for urgent ones."""
+    orders = table(spark, sf_dir, "orders")
+    shared = [
+        F.col("o_orderpriority").alias("event_type"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("start_date_time"),
+        F.col("o_custkey").alias("police_precinct"),
+    ]
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    number = _sent(orders.where(~urgent), "o_orderkey", F.col("o_orderkey").alias("event_id"), *shared)
+    text = F.col("o_orderkey").cast("string").alias("event_id")
+    return number.unionAll(_sent(orders.where(urgent), "o_orderkey", text, *shared))
+
+
+def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order states as status records."""
+    orders = table(spark, sf_dir, "orders")
+    ident = F.col("o_orderkey").cast("string").alias("id")
+    return _sent(orders, "o_orderkey", ident, F.col("o_orderstatus").alias("status"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_of(incidents(spark, sf_dir))
 
@@ -110,7 +139,7 @@ INCIDENTS_SQL = """incidents AS (
 )"""
 
 ACKS_SQL = """acks AS (
-  SELECT cast(event_id AS varchar) AS id, 'sent' AS status FROM events WHERE event_id % 3 = 0
+  SELECT cast(o_orderkey AS varchar) AS id, 'sent' AS status FROM orders WHERE o_orderstatus = 'F'
 )"""
 
 # Usable records of the messages, worked out from the events without any JSON.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blotter import schemas
 from blotter.operators.joins import BROADCAST_BYTES, stored_keys, without_stored
+from blotter.session import materialise
 
 
 def _first_by(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -35,14 +36,14 @@ def existing_keys(
     df: DataFrame, target: DataFrame, key: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Keys of the batch that are already stored."""
-    return stored_keys(df.select(key).distinct(), target, key, limit)
+    return stored_keys(materialise(df.select(key).distinct()), target, key, limit)
 
 
 def new_keys(
     df: DataFrame, target: DataFrame, key: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Keys of the batch that are not stored yet."""
-    return without_stored(df.select(key).distinct(), target, key, limit)
+    return without_stored(materialise(df.select(key).distinct()), target, key, limit)
 
 
 def insert_if_absent(
@@ -50,7 +51,8 @@ def insert_if_absent(
 ) -> DataFrame:
     """Rows to append: those of ``df``, unique on ``key``, that the target lacks.
 
-    Replaying a batch therefore adds nothing, provided the target has one writer.
+    Replaying a batch therefore adds nothing, provided the target has one writer. The
+    batch is read more than once, so pass a table or a materialised frame.
     """
     return without_stored(df, target, key, limit).select(df.columns)
 

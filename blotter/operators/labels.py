@@ -24,9 +24,13 @@ def keep_top_labels(
     df: DataFrame, k: int = schemas.TOP_LABELS, label: str = schemas.LABEL
 ) -> DataFrame:
     """Rows whose label is among the k most frequent."""
-    top = top_k_labels(df, k, label).select(label)
     # k rows at most, so the plan's own size estimate makes this a broadcast.
-    return df.join(top, label, "left_semi").select(df.columns)
+    return keep_labels(df, top_k_labels(df, k, label), label)
+
+
+def keep_labels(df: DataFrame, kept: DataFrame, label: str = schemas.LABEL) -> DataFrame:
+    """Rows whose label is in ``kept``."""
+    return df.join(kept.select(label), label, "left_semi").select(df.columns)
 
 
 def known_label(df: DataFrame, vocabulary: DataFrame, label: str = schemas.LABEL) -> DataFrame:

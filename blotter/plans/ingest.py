@@ -27,15 +27,15 @@ def ingest(
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows that messages (part, off, value) add to ``target``."""
-    records = unique_records(flatten(decode_value(messages), schema, key), schema, key)
-    return insert_if_absent(records, target, key, limit)
+    flat = flatten(decode_value(messages), schema, key)
+    return insert_if_absent(materialise(unique_records(flat, schema, key)), target, key, limit)
 
 
 def acknowledge(messages: DataFrame, acks: DataFrame) -> DataFrame:
     """Acknowledgement rows that published incidents add to ``acks``."""
     flat = flatten(decode_value(messages), schemas.INCIDENTS, schemas.INCIDENT_KEY)
     # Only the key is used, so the other fields are never extracted.
-    ids = valid_records(flat).select(schemas.INCIDENT_KEY).distinct()
+    ids = materialise(valid_records(flat).select(schemas.INCIDENT_KEY).distinct())
     return insert_if_absent(to_ack(ids), acks, schemas.ACK_KEY)
 
 
@@ -46,7 +46,7 @@ def ingest_into(
     target: Table,
     reject_table: Table | None = None,
 ) -> dict[str, int]:
-    """Ingest one batch into its table; counts of received and inserted rows.
+    """Ingest one batch into its table; counts of keys and of inserted rows.
 
     The batch is parsed once and kept for the steps that follow. A lost executor only
     means that its part is parsed again.
@@ -61,7 +61,7 @@ def ingest_into(
         fresh = insert_if_absent(records, read_table(spark, target), key)
         seen = Observation()
         append(fresh.observe(seen, F.count(F.lit(1)).alias("inserted")), target)
-        return {"received": records.count(), **seen.get}
+        return {"keys": records.count(), **seen.get}
     finally:
         flat.unpersist()
 

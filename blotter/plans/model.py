@@ -19,7 +19,7 @@ from blotter.functions.clock import cyclic_features, time_features
 from blotter.operators.encoding import label_decode, label_encode, ordinal_encode, vocabulary
 from blotter.operators.filters import require
 from blotter.operators.keys import keep_first
-from blotter.operators.labels import keep_top_labels, known_label
+from blotter.operators.labels import keep_labels, known_label, top_k_labels
 from blotter.operators.metrics import accuracy, classification_report
 from blotter.operators.sampling import stratified_split
 from blotter.session import materialise
@@ -226,12 +226,11 @@ def prepare(
     incidents: DataFrame, order: list[str], k: int = schemas.TOP_LABELS
 ) -> tuple[DataFrame, Vocabularies]:
     """Training rows with ``is_test``, and the vocabularies of the kept labels."""
-    kept = materialise(
-        keep_top_labels(clean(keep_first(incidents, schemas.INCIDENT_KEY, order)), k)
-    )
+    cleaned = materialise(clean(keep_first(incidents, schemas.INCIDENT_KEY, order)))
+    kept = keep_labels(cleaned, materialise(top_k_labels(cleaned, k)))
     vocabularies = fit_vocabularies(kept)
-    rows = training_rows(kept, vocabularies)
-    return materialise(stratified_split(rows)), vocabularies
+    rows = materialise(training_rows(kept, vocabularies))
+    return stratified_split(rows), vocabularies
 
 
 def train_all(

@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter import schemas
+from blotter.operators.joins import BROADCAST_BYTES, payload_bytes
 from blotter.operators.keys import latest_per_key, pending
 from blotter.session import materialise
 from blotter.sources.messages import Topic, publish_rows
 from blotter.sources.tables import Table, ensure_table, read_table
 
 
-def pending_release(incidents: DataFrame, acks: DataFrame, tiebreak: list[str] = ()) -> DataFrame:
-    """The latest version of each incident that is not acknowledged.
+def pending_keys(incidents: DataFrame, acks: DataFrame) -> DataFrame:
+    """Keys of the incidents that are not acknowledged; reads the key columns only."""
+    return pending(incidents.select(schemas.INCIDENT_KEY).distinct(), acks)
 
-    Versions are reduced first: that drops most rows of a much-repeated key before the
-    shuffle, and the anti-join then reuses the partitioning by key.
+
+def latest_of(
+    incidents: DataFrame, keys: DataFrame, tiebreak: list[str] = (), limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The latest version of each incident among the distinct ``keys``.
+
+    Few keys are sent to the incidents, of which all others drop out where they are
+    scanned. With many keys the versions are reduced first, which drops most rows of a
+    much-repeated key before the shuffle; the join then reuses the partitioning.
     """
-    latest = latest_per_key(incidents, schemas.INCIDENT_KEY, "rpt_dt", tiebreak)
-    return pending(latest, acks)
+    key = schemas.INCIDENT_KEY
+    if payload_bytes(keys) <= limit:
+        wanted = incidents.join(F.broadcast(keys), key, "left_semi")
+        return latest_per_key(wanted, key, "rpt_dt", tiebreak).select(incidents.columns)
+    latest = latest_per_key(incidents, key, "rpt_dt", tiebreak)
+    return latest.join(keys, key, "left_semi").select(incidents.columns)
 
 
 def release(
@@ -30,14 +43,16 @@ def release(
 ) -> int:
     """Publish every pending incident once at least ``min_rows`` wait; rows sent.
 
-    The gate and the publication see one materialised state of the tables. Until the
-    acknowledgements arrive the same rows go out again, which the receivers tolerate.
+    The gate looks at keys only, so a closed gate never reads whole incidents. Gate and
+    publication see the same files. Until the acknowledgements arrive the same rows go
+    out again, which the receivers tolerate.
     """
     ensure_table(spark, incidents, schemas.INCIDENTS)
     ensure_table(spark, acks, schemas.ACKS)
-    waiting = materialise(pending_release(read_table(spark, incidents), read_table(spark, acks)))
-    rows = waiting.count()
+    stored = read_table(spark, incidents)
+    keys = materialise(pending_keys(stored, read_table(spark, acks)))
+    rows = keys.count()
     if rows < min_rows:
         return 0
-    publish_rows(waiting, topic)
+    publish_rows(latest_of(stored, keys), topic)
     return rows

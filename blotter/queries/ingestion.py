@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from blotter import schemas
 from blotter.bindings import (
     ACKS_SQL, INCIDENTS_SQL, RECORD, RECORD_COLUMNS, RECORDS_SQL, UNIQUE_SQL, acks, incidents,
-    messages, table, with_sql,
+    messages, public_event_messages, status_messages, table, with_sql,
 )
 from blotter.functions.conform import conform_schema
 from blotter.functions.messages import ARRIVAL, decode_value, flatten, rejects, valid_records
 from blotter.operators import keys, metrics
 from blotter.plans import ingest as plan
-from blotter.plans.release import pending_release, release
+from blotter.plans.release import latest_of, pending_keys, release
 from blotter.plans.requests import serve_requests
 from blotter.queries.registry import query
 from blotter.queries.rows import wall_clock
-from blotter.session import scratch
-from blotter.sources.messages import Topic, publish_rows
+from blotter.session import materialise, scratch
+from blotter.sources.messages import Topic, publish, publish_rows
 from blotter.sources.paged import read_paged
 from blotter.sources.tables import Table, append, ensure_table, query_session, read_query, read_table
 
@@ -103,10 +103,40 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = unique_messages(spark, sf_dir).select(*RECORD)
     append(stored_of(rows).select(F.lit("stored").alias("origin"), "*"), target)
     batch = rows.select(F.lit("batch").alias("origin"), "*")
-    append(keys.insert_if_absent(batch, read_table(spark, target), KEY), target)
+    append(keys.insert_if_absent(materialise(batch), read_table(spark, target), KEY), target)
     return wall_clock(read_table(spark, target))
 
 
+# The number 0 is no key, the text '0' is one.
+@query(
+    """SELECT cast(o_orderkey AS integer) AS event_id, cast(NULL AS varchar) AS event_name,
+  o_orderdate AS start_date_time, o_orderpriority AS event_type, cast(o_custkey AS varchar) AS police_precinct
+FROM orders WHERE o_orderkey <> 0 OR o_orderpriority = '1-URGENT'"""
+)
+def ingest_public_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = Table("parquet", scratch(spark, "events"))
+    plan.ingest_into(
+        public_event_messages(spark, sf_dir), schemas.PUBLIC_EVENTS, schemas.PUBLIC_EVENT_KEY, target
+    )
+    return wall_clock(
+        read_table(spark, target).select(
+            "event_id", "event_name", "start_date_time", "event_type", "police_precinct"
+        )
+    )
+
+
+@query(
+    """SELECT cast(o_orderkey AS varchar) AS id,
+  CASE WHEN o_orderstatus = 'F' THEN 'sent' ELSE o_orderstatus END AS status FROM orders"""
+)
+def ingest_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status records added to acknowledgements that are there; those stay as they are."""
+    target = Table("parquet", scratch(spark, "acks"))
+    append(acks(spark, sf_dir), target)
+    plan.ingest_into(status_messages(spark, sf_dir), schemas.ACKS, schemas.ACK_KEY, target)
+    return read_table(spark, target)
+
+
 @query(UNIQUE + f"SELECT {RECORD_COLUMNS} FROM uniq")
 def ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole ingest of a batch into a new table."""
@@ -161,7 +191,9 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT * FROM latest WHERE cmplnt_num NOT IN (SELECT id FROM acks)"
 )
 def pending_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pending_release(versions(spark, sf_dir), acks(spark, sf_dir), ["version"])
+    stored = versions(spark, sf_dir)
+    waiting = materialise(pending_keys(stored, acks(spark, sf_dir)))
+    return latest_of(stored, waiting, ["version"])
 
 
 @query(
@@ -245,8 +277,7 @@ def acknowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.acknowledge(messages(spark, sf_dir), acks(spark, sf_dir))
 
 
-@query("SELECT event_id, event_type, value FROM events")
-def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _served(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
     """Events kept as pages of 1000 JSON records, pulled page by page by many tasks."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     url = scratch(spark, "pages")
@@ -255,7 +286,22 @@ def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages.repartition("page").write.partitionBy("page").text(url)
     pulled = read_paged(spark, f"file://{url}" if url.startswith("/") else url,
                         events.count(), "event_id", pages_per_task=3)
-    return pulled.select(F.from_json("value", events.schema).alias("e")).select("e.*")
+    return pulled, events.schema
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pulled, schema = _served(spark, sf_dir)
+    return pulled.select(F.from_json("value", schema).alias("e")).select("e.*")
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def publish_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pulled record sent on as one message."""
+    pulled, schema = _served(spark, sf_dir)
+    topic = Topic("file", scratch(spark, "sent"))
+    publish(pulled, topic)
+    return spark.read.schema(schema).json(topic.name)
 
 
 @query(with_sql(INCIDENTS_SQL) + "SELECT cmplnt_num, rpt_dt, latitude FROM incidents")

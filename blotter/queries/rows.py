@@ -102,7 +102,7 @@ def require_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _INCIDENTS
     + """SELECT cmplnt_num, latitude, longitude, cmplnt_fr_dt, cmplnt_fr_tm, boro_nm, pd_desc
-FROM incidents WHERE longitude <> 0 AND addr_pct_cd % 10 <> 7"""
+FROM incidents WHERE latitude <> 0 AND longitude <> 0 AND addr_pct_cd % 10 <> 7"""
 )
 def map_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = incidents(spark, sf_dir)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SPLIT_BYTES = 128 * 1024 * 1024
+_tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
 
 
 def build_session(
@@ -61,6 +65,30 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder; survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once into a table in the shared folder and read that.
+
+    This cuts the lineage and survives the loss of executors; later steps read only the
+    columns they need, and the planner knows the size.
+    """
+    path = scratch(df.sparkSession, "table")
+    if (tables := _tables.get()) is not None:
+        tables.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that ``materialise`` writes inside the block when it ends.
+
+    Outside such a block they stay until the shared folder is cleared.
+    """
+    token = _tables.set([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for path in _tables.get():
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        _tables.reset(token)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from blotter.session import temporary_tables
+
 ONCE = {"availableNow": True}
 
 
@@ -22,7 +24,8 @@ def run_batches(
     """
     def guarded(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            step(batch, number)
+            with temporary_tables(batch.sparkSession):
+                step(batch, number)
 
     writer = stream.writeStream.foreachBatch(guarded).outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint)

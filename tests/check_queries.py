@@ -17,6 +17,10 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 DATA = Path("/root/testdata")
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
 
 
 def oracle_rows(sf_dir: str, sql: str) -> tuple[list[str], Counter]:
@@ -25,14 +29,17 @@ def oracle_rows(sf_dir: str, sql: str) -> tuple[list[str], Counter]:
             db.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
         result = db.execute(sql)
         names = [column[0] for column in result.description]
+        types = {column[0]: str(column[1]).upper() for column in result.description}
         order = sorted(range(len(names)), key=lambda i: names[i])
         rows = Counter(tuple(repr(row[i]) for i in order) for row in result.fetchall())
-    return sorted(names), rows
+    return [f"{name} {types[name]}" for name in sorted(names)], rows
 
 
 def spark_rows(df) -> tuple[list[str], Counter]:
     names = sorted(df.columns)
-    return names, Counter(tuple(repr(v) for v in row) for row in df.select(names).collect())
+    types = {field.name: SQL_TYPES[field.dataType.simpleString()] for field in df.schema.fields}
+    rows = Counter(tuple(repr(v) for v in row) for row in df.select(names).collect())
+    return [f"{name} {types[name]}" for name in names], rows
 
 
 def compare(spark: SparkSession, sf_dir: str, function, sql: str | None) -> str:
