@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blotter import schemas
-from blotter.operators.joins import BROADCAST_BYTES, stored_keys, without_stored
+from blotter.operators.joins import BROADCAST_BYTES, lookup, stored_keys, without_stored
 from blotter.session import materialise
 
 
@@ -63,8 +63,13 @@ def pending(
     key: str = schemas.INCIDENT_KEY,
     ack_key: str = schemas.ACK_KEY,
 ) -> DataFrame:
-    """Rows that no acknowledgement names."""
-    acked = acks.select(F.col(ack_key).alias(key)).distinct()
+    """Rows that no acknowledgement names.
+
+    The acknowledged keys are reduced to a table first. Both sides then come to the join
+    straight from a shuffle, which lets adaptive execution split a key that holds many
+    rows; an aggregate in between would prevent that.
+    """
+    acked = materialise(acks.select(F.col(ack_key).alias(key)).distinct())
     return df.join(acked, key, "left_anti").select(df.columns)
 
 
@@ -82,4 +87,5 @@ def already_done(target: DataFrame, column: str, value) -> bool:
 
 def not_yet_done(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """``already_done`` as a plan: rows whose value the target does not hold at all."""
-    return df.join(target.select(column).distinct(), column, "left_anti").select(df.columns)
+    done = materialise(target.select(column).distinct())
+    return lookup(df, done, [column], "left_anti").select(df.columns)

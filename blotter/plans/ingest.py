@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from blotter import schemas
@@ -48,22 +47,19 @@ def ingest_into(
 ) -> dict[str, int]:
     """Ingest one batch into its table; counts of keys and of inserted rows.
 
-    The batch is parsed once and kept for the steps that follow. A lost executor only
-    means that its part is parsed again.
+    The batch is parsed once, whether or not its rejects are kept.
     """
     spark = messages.sparkSession
     ensure_table(spark, target, schema)
-    flat = flatten(decode_value(messages), schema, key).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if reject_table is not None:
-            append(rejects(flat), reject_table)
-        records = materialise(unique_records(flat, schema, key))
-        fresh = insert_if_absent(records, read_table(spark, target), key)
-        seen = Observation()
-        append(fresh.observe(seen, F.count(F.lit(1)).alias("inserted")), target)
-        return {"keys": records.count(), **seen.get}
-    finally:
-        flat.unpersist()
+    flat = flatten(decode_value(messages), schema, key)
+    if reject_table is not None:
+        flat = materialise(flat)
+        append(rejects(flat), reject_table)
+    records = materialise(unique_records(flat, schema, key))
+    fresh = insert_if_absent(records, read_table(spark, target), key)
+    seen = Observation()
+    append(fresh.observe(seen, F.count(F.lit(1)).alias("inserted")), target)
+    return {"keys": records.count(), **seen.get}
 
 
 def acknowledge_into(messages: DataFrame, acks: Table) -> None:

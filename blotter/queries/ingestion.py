@@ -81,14 +81,14 @@ def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(STORED + "SELECT DISTINCT cmplnt_num FROM records SEMI JOIN stored USING (cmplnt_num)")
 def existing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = valid_records(flat_messages(spark, sf_dir))
-    return keys.existing_keys(rows, stored_of(unique_messages(spark, sf_dir)), KEY)
+    rows = materialise(valid_records(flat_messages(spark, sf_dir)))
+    return keys.existing_keys(rows, stored_of(keys.keep_last(rows, KEY, ARRIVAL)), KEY)
 
 
 @query(STORED + "SELECT DISTINCT cmplnt_num FROM records ANTI JOIN stored USING (cmplnt_num)")
 def new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = valid_records(flat_messages(spark, sf_dir))
-    return keys.new_keys(rows, stored_of(unique_messages(spark, sf_dir)), KEY)
+    rows = materialise(valid_records(flat_messages(spark, sf_dir)))
+    return keys.new_keys(rows, stored_of(keys.keep_last(rows, KEY, ARRIVAL)), KEY)
 
 
 @query(
@@ -100,10 +100,10 @@ UNION ALL SELECT 'stored', {RECORD_COLUMNS} FROM stored"""
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that holds some of the keys, then the whole batch inserted into it."""
     target = Table("parquet", scratch(spark, "incidents"))
-    rows = unique_messages(spark, sf_dir).select(*RECORD)
+    rows = materialise(unique_messages(spark, sf_dir).select(*RECORD))
     append(stored_of(rows).select(F.lit("stored").alias("origin"), "*"), target)
     batch = rows.select(F.lit("batch").alias("origin"), "*")
-    append(keys.insert_if_absent(materialise(batch), read_table(spark, target), KEY), target)
+    append(keys.insert_if_absent(batch, read_table(spark, target), KEY), target)
     return wall_clock(read_table(spark, target))
 
 
@@ -218,21 +218,26 @@ def release_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     STORED
     + """
-SELECT (SELECT count(*) FROM records) AS received, (SELECT count(*) FROM uniq) AS keys,
-  (SELECT count(*) FROM stored) AS existing,
-  (SELECT count(*) FROM uniq) - (SELECT count(*) FROM stored) AS inserted,
-  waiting AS pending, CASE WHEN waiting >= 900 THEN waiting ELSE 0 END AS sent
-FROM (SELECT count(*) AS waiting FROM uniq WHERE cmplnt_num NOT IN (SELECT id FROM acks))"""
+SELECT 'received' AS metric, count(*) AS n FROM records
+UNION ALL SELECT 'keys', count(*) FROM uniq
+UNION ALL SELECT 'existing', count(*) FROM stored
+UNION ALL SELECT 'inserted', (SELECT count(*) FROM uniq) - (SELECT count(*) FROM stored)
+UNION ALL SELECT 'pending', count(*) FROM uniq WHERE cmplnt_num NOT IN (SELECT id FROM acks)
+UNION ALL SELECT 'sent', CASE WHEN count(*) >= 900 THEN count(*) ELSE 0 END
+  FROM uniq WHERE cmplnt_num NOT IN (SELECT id FROM acks)"""
 )
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = valid_records(flat_messages(spark, sf_dir))
-    unique = unique_messages(spark, sf_dir)
+    rows = materialise(valid_records(flat_messages(spark, sf_dir)))
+    unique = keys.keep_last(rows, KEY, ARRIVAL)
     counts = metrics.batch_metrics(rows, stored_of(unique), KEY)
     waiting = metrics.release_metrics(keys.pending(unique, acks(spark, sf_dir)))
-    # Two one-row counts side by side.
-    return counts.withColumn("_row", F.lit(1)).join(
-        waiting.withColumn("_row", F.lit(1)), "_row"
-    ).drop("_row")
+    return by_name(counts).unionAll(by_name(waiting))
+
+
+def by_name(counts: DataFrame) -> DataFrame:
+    """One row per column of a one-row frame."""
+    named = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("n")) for c in counts.columns]
+    return counts.select(F.inline(F.array(*named)))
 
 
 @query(

@@ -156,5 +156,5 @@ def refit_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         message_stream(spark, sf_dir), training, fits, classifier.vocabularies,
         scratch(spark, "model"), scratch(spark, "state"), every=50, trigger=ONCE, **SMALL,
     )
-    run_all(spark, [running], 600)
+    run_all([running], 600)
     return read_table(spark, fits)

@@ -36,7 +36,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         message_stream(spark, sf_dir), schemas.INCIDENTS, schemas.INCIDENT_KEY, target,
         scratch(spark, "state"), ONCE,
     )
-    run_all(spark, [running], LIMIT)
+    run_all([running], LIMIT)
     return _stored(spark, target)
 
 
@@ -57,7 +57,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         running = jobs.ingest_stream(
             message_source(spark, topic), schemas.INCIDENTS, schemas.INCIDENT_KEY, target, state, ONCE
         )
-        run_all(spark, [running], LIMIT)
+        run_all([running], LIMIT)
 
     first = messages(spark, sf_dir)
     first.coalesce(1).write.parquet(topic.name)
@@ -80,11 +80,11 @@ def stream_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
         message_stream(spark, sf_dir), incidents, acks, topic, scratch(spark, "state"), ONCE,
         min_rows=100,
     )
-    run_all(spark, [releasing], LIMIT)
+    run_all([releasing], LIMIT)
     acknowledging = jobs.ack_stream(
         published_source(spark, topic), acks, scratch(spark, "state"), ONCE
     )
-    run_all(spark, [acknowledging], LIMIT)
+    run_all([acknowledging], LIMIT)
     return read_table(spark, acks)
 
 
@@ -97,17 +97,12 @@ def stream_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams at once under one supervisor."""
     target, counts = _parquet(spark, "incidents"), _parquet(spark, "tokens")
     lines = event_rows(spark, sf_dir).select(F.col("event_type").alias("value"))
-    run_all(
-        spark,
-        [
-            jobs.ingest_stream(
-                message_stream(spark, sf_dir), schemas.INCIDENTS, schemas.INCIDENT_KEY, target,
-                scratch(spark, "state"), ONCE,
-            ),
-            jobs.token_stream(lines, counts, scratch(spark, "state"), ONCE),
-        ],
-        LIMIT,
+    ingesting = jobs.ingest_stream(
+        message_stream(spark, sf_dir), schemas.INCIDENTS, schemas.INCIDENT_KEY, target,
+        scratch(spark, "state"), ONCE,
     )
+    counting = jobs.token_stream(lines, counts, scratch(spark, "state"), ONCE)
+    run_all([ingesting, counting], LIMIT)
     rows = read_table(spark, target).select(F.lit("incidents").alias("stored"))
     tokens = read_table(spark, counts).select(F.lit("tokens").alias("stored"))
     return rows.unionAll(tokens).groupBy("stored").agg(F.count(F.lit(1)).alias("n"))
@@ -126,7 +121,7 @@ def token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.split("text", "\n")).alias("value")
     ).repartition(3).write.text(folder)
     lines = line_source(spark, "text", path=folder, maxFilesPerTrigger="1", lineSep="\n")
-    run_all(spark, [jobs.token_stream(lines, counts, scratch(spark, "state"), ONCE)], LIMIT)
+    run_all([jobs.token_stream(lines, counts, scratch(spark, "state"), ONCE)], LIMIT)
     per_batch = read_table(spark, counts)
     return per_batch.groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -139,5 +134,5 @@ def stream_sql_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     running = jobs.request_stream(
         published_source(spark, asked), given_tables(sf_dir), answered, scratch(spark, "state"), ONCE
     )
-    run_all(spark, [running], LIMIT)
+    run_all([running], LIMIT)
     return answers(spark, answered.name)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.session import temporary_tables
 
 ONCE = {"availableNow": True}
+POLL = 1  # seconds before looking at the next stream
 
 
 def run_batches(
@@ -34,27 +36,21 @@ def run_batches(
     return writer.start()
 
 
-def run_all(
-    spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None
-) -> None:
+def run_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
     """Wait until all queries have ended; when one fails, stop the rest and raise.
 
     Without a timeout this runs as long as the streams do.
     """
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        while any(query.isActive for query in queries):
-            ended = (
-                spark.streams.awaitAnyTermination()
-                if timeout is None
-                else spark.streams.awaitAnyTermination(timeout)
-            )
-            if ended is False:
+        while running := [query for query in queries if query.isActive]:
+            for query in running:
+                query.awaitTermination(POLL)
+            if deadline is not None and time.monotonic() > deadline:
                 raise TimeoutError(f"streams still active after {timeout} s")
-            spark.streams.resetTerminated()
         for query in queries:
-            if query.exception() is not None:
-                raise query.exception()
+            # Raises what ended the query, if anything did.
+            query.awaitTermination(POLL)
     finally:
         for query in queries:
-            if query.isActive:
-                query.stop()
+            query.stop()
