@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
@@ -17,8 +17,8 @@ _TEXT = (T.StringType, T.BinaryType)
 _ATOMIC = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
-def payload_bytes(df: DataFrame) -> int:
-    """Bytes a copy of ``df`` needs in memory: 16 per row and value, plus all text."""
+def _payload(df: DataFrame) -> Column:
+    """Sum of the bytes the rows need in memory: 16 per row and value, plus all text."""
     widths = [F.lit(16)]
     for field in df.schema.fields:
         if isinstance(field.dataType, _TEXT):
@@ -27,7 +27,12 @@ def payload_bytes(df: DataFrame) -> int:
             widths.append(F.lit(16))
         else:
             raise TypeError(f"no size rule for column {field.name}: {field.dataType}")
-    return df.agg(F.sum(reduce(add, widths).cast("bigint"))).first()[0] or 0
+    return F.coalesce(F.sum(reduce(add, widths).cast("bigint")), F.lit(0))
+
+
+def payload_bytes(df: DataFrame) -> int:
+    """Bytes a copy of ``df`` needs in memory."""
+    return df.agg(_payload(df)).first()[0]
 
 
 def lookup(
@@ -47,6 +52,19 @@ def lookup(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def _within_reach(
+    keys: DataFrame, target: DataFrame, key: str, limit: int
+) -> tuple[DataFrame, bool]:
+    """Stored keys between the smallest and greatest of ``keys``, and whether these fit.
+
+    Keys that grow with time let the scan skip the files of older ones; the range never
+    changes the result.
+    """
+    size, low, high = keys.agg(_payload(keys), F.min(key), F.max(key)).first()
+    held = target.select(key).where(F.col(key).between(F.lit(low), F.lit(high)))
+    return held, size <= limit
+
+
 def stored_keys(
     keys: DataFrame, target: DataFrame, key: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -56,8 +74,8 @@ def stored_keys(
     shuffle. Otherwise both key sets are reduced to distinct values before they meet, so
     a key stored many times weighs no more than any other.
     """
-    held = target.select(key)
-    if payload_bytes(keys) <= limit:
+    held, fits = _within_reach(keys, target, key, limit)
+    if fits:
         return held.join(F.broadcast(keys), key, "left_semi").distinct()
     return held.distinct().join(keys, key, "left_semi")
 
@@ -67,7 +85,9 @@ def without_stored(
 ) -> DataFrame:
     """Rows of ``df``, unique on ``key``, whose key is not in ``target``."""
     keys = df.select(key)
-    if payload_bytes(keys) <= limit:
+    held, fits = _within_reach(keys, target, key, limit)
+    if fits:
         # The stored keys are a subset of a key set that fits, so they fit as well.
-        return df.join(F.broadcast(stored_keys(keys, target, key, limit)), key, "left_anti")
-    return df.join(target.select(key).distinct(), key, "left_anti")
+        known = held.join(F.broadcast(keys), key, "left_semi").distinct()
+        return df.join(F.broadcast(known), key, "left_anti")
+    return df.join(held.distinct(), key, "left_anti")

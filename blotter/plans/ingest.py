@@ -32,8 +32,8 @@ def ingest(
 
 def acknowledge(messages: DataFrame, acks: DataFrame) -> DataFrame:
     """Acknowledgement rows that published incidents add to ``acks``."""
-    flat = flatten(decode_value(messages), schemas.INCIDENTS, schemas.INCIDENT_KEY)
-    # Only the key is used, so the other fields are never extracted.
+    key_only = T.StructType([schemas.INCIDENTS[schemas.INCIDENT_KEY]])
+    flat = flatten(decode_value(messages), key_only, schemas.INCIDENT_KEY)
     ids = materialise(valid_records(flat).select(schemas.INCIDENT_KEY).distinct())
     return insert_if_absent(to_ack(ids), acks, schemas.ACK_KEY)
 

@@ -136,6 +136,7 @@ def test_stored_and_new_keys(spark, limit):
     target = spark.createDataFrame([("b",), ("z",), ("b",)], "k string")
     assert values(keys.existing_keys(batch, target, "k", limit), "k") == ["b"]
     assert values(keys.new_keys(batch, target, "k", limit), "k") == new
+    assert keys.existing_keys(batch.limit(0), target, "k", limit).isEmpty()
     fresh = keys.insert_if_absent(batch.distinct(), target, "k", limit)
     assert values(fresh, "k") == new
 

@@ -11,7 +11,12 @@ SF = "/root/testdata/sf0.001"
 QUERIES = __spark_entry__.queries()
 
 
-@pytest.mark.parametrize("name", QUERIES)
+def _param(name):
+    slow = QUERIES[name].__module__.endswith("models")
+    return pytest.param(name, marks=pytest.mark.slow if slow else ())
+
+
+@pytest.mark.parametrize("name", map(_param, QUERIES))
 def test_query(spark, name):
     assert compare(spark, SF, QUERIES[name], __spark_entry__.oracle_sql().get(name)) == ""
 

@@ -70,6 +70,7 @@ def test_keys_meet_as_distinct_values(spark, skewed, plan_of):
     few = joins.stored_keys(batch, skewed, "cmplnt_num")
     assert "Exchange hashpartitioning" in plan_of(few)
     assert sum(shuffled_rows(few)) <= 8 + 1  # the target itself is not shuffled
+    assert "GreaterThanOrEqual(cmplnt_num,1)" in plan_of(few)
     many = joins.stored_keys(batch, skewed, "cmplnt_num", limit=0)
     assert {r[0] for r in many.collect()} == {r[0] for r in few.collect()} == {"hot", "1"}
 
