@@ -91,33 +91,32 @@ def messages_of(incidents: DataFrame) -> DataFrame:
     )
 
 
-def _sent(rows: DataFrame, offset: str, *fields: Column) -> DataFrame:
+def _sent(rows: DataFrame, offset: str, body: Column) -> DataFrame:
     return rows.select(
         (F.col(offset) % 3).cast("int").alias("part"),
         F.col(offset).alias("off"),
-        F.to_json(F.struct(*fields)).cast("binary").alias("value"),
+        body.cast("binary").alias("value"),
     )
 
 
 def public_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as public events; the key is a number, or text for urgent ones."""
-    orders = table(spark, sf_dir, "orders")
     shared = [
         F.col("o_orderpriority").alias("event_type"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("start_date_time"),
         F.col("o_custkey").alias("police_precinct"),
     ]
-    urgent = F.col("o_orderpriority") == "1-URGENT"
-    number = _sent(orders.where(~urgent), "o_orderkey", F.col("o_orderkey").alias("event_id"), *shared)
-    text = F.col("o_orderkey").cast("string").alias("event_id")
-    return number.unionAll(_sent(orders.where(urgent), "o_orderkey", text, *shared))
+    number = F.to_json(F.struct(F.col("o_orderkey").alias("event_id"), *shared))
+    text = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("event_id"), *shared))
+    body = F.when(F.col("o_orderpriority") == "1-URGENT", text).otherwise(number)
+    return _sent(table(spark, sf_dir, "orders"), "o_orderkey", body)
 
 
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order states as status records."""
-    orders = table(spark, sf_dir, "orders")
     ident = F.col("o_orderkey").cast("string").alias("id")
-    return _sent(orders, "o_orderkey", ident, F.col("o_orderstatus").alias("status"))
+    body = F.to_json(F.struct(ident, F.col("o_orderstatus").alias("status")))
+    return _sent(table(spark, sf_dir, "orders"), "o_orderkey", body)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

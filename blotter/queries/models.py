@@ -3,12 +3,17 @@ that every row is scored, with a known label and a probability a classifier can
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter import schemas
-from blotter.bindings import INCIDENTS_SQL, incidents, message_stream, with_sql
+from blotter.bindings import (
+    INCIDENTS_SQL, RECORDS_SQL, UNIQUE_SQL, incidents, message_stream, with_sql,
+)
 from blotter.plans import forecast, model
-from blotter.queries.features import CENTROIDS_SQL, DAY, POSITIONS_SQL
+from blotter.queries.features import CENTROIDS_SQL, DAY, POSITIONS_SQL, TOP, TOP_SQL
 from blotter.queries.registry import query
 from blotter.session import scratch
 from blotter.sources.tables import Table, append, read_table
@@ -23,7 +28,6 @@ GRID = {
     "subsamplingRate": [0.6, 0.8, 1.0],
     "featureSubsetStrategy": ["sqrt", "0.6"],
 }
-TOP = 3
 ORDER = ["rpt_dt", "cmplnt_num"]
 
 
@@ -138,16 +142,29 @@ def daily_forecast_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sound(classifier, rows, "addr_pct_cd", "boro_nm", "prediction_date", "prediction_time")
 
 
-@query()
+@query(
+    with_sql(INCIDENTS_SQL, TOP_SQL)
+    + """, held AS (
+  SELECT ofns_desc AS label, cast(ceil(count(*) * cast(0.2 AS double)) AS bigint) AS support
+  FROM incidents SEMI JOIN top USING (ofns_desc) GROUP BY ofns_desc
+)
+SELECT label, support, true AS sound FROM held
+UNION ALL SELECT name, cast(sum(support) AS bigint), true FROM held, (VALUES ('macro avg'), ('weighted avg')) t(name)
+GROUP BY name"""
+)
 def train_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean, split, search, evaluate and save; the report of the model found."""
+    """Clean, split, search, evaluate and save; the rows judged and whether the scores can be."""
     _, _, report = model.train_all(
         incidents(spark, sf_dir), ORDER, scratch(spark, "model"), TOP, draws=3, grid=GRID
     )
-    return report
+    sound = reduce(and_, (F.col(c).between(0, 1) for c in ("precision", "recall", "f1")))
+    return report.select("label", "support", sound.alias("sound"))
 
 
-@query()
+@query(
+    with_sql(INCIDENTS_SQL, TOP_SQL, RECORDS_SQL, UNIQUE_SQL)
+    + "SELECT count(*) AS rows, cast(0 AS bigint) AS batch FROM uniq SEMI JOIN top USING (ofns_desc)"
+)
 def refit_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training table sizes at which the streamed records led to a new fit."""
     classifier, _ = _fitted(spark, sf_dir)

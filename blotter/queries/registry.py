@@ -12,10 +12,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name, less a trailing ``_query``."""
     def register(function: Query) -> Query:
-        key = name or function.__name__.removesuffix("_query")
+        key = function.__name__.removesuffix("_query")
         QUERIES[key] = function
         if sql is not None:
             ORACLES[key] = sql

@@ -47,7 +47,7 @@ def test_failure_to_read_is_not_absence(spark, tmp_path):
 
 
 def test_partitioned_jdbc_options():
-    table = partitioned_jdbc(Table("jdbc", "crimes", {"url": "u"}), "rpt_dt", "2020-01-01", "2024-01-01", 64)
+    table = partitioned_jdbc(Table("jdbc", "incidents", {"url": "u"}), "rpt_dt", "2020-01-01", "2024-01-01", 64)
     assert table.options == {
         "url": "u", "partitionColumn": "rpt_dt", "lowerBound": "2020-01-01",
         "upperBound": "2024-01-01", "numPartitions": "64",
@@ -78,9 +78,9 @@ def test_requests_are_answered_even_when_they_fail_late(spark, tmp_path):
 
 
 def test_kafka_options_are_those_of_a_cautious_reader():
-    topic = Topic("kafka", "send-data", {"kafka.bootstrap.servers": "b:1"})
+    topic = Topic("kafka", "incoming", {"kafka.bootstrap.servers": "b:1"})
     assert kafka_options(topic) == {
-        "kafka.bootstrap.servers": "b:1", "subscribe": "send-data", "startingOffsets": "latest",
+        "kafka.bootstrap.servers": "b:1", "subscribe": "incoming", "startingOffsets": "latest",
         "failOnDataLoss": "false",
     }
     assert kafka_options(topic, "earliest", True)["failOnDataLoss"] == "true"
