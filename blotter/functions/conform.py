@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+_MOMENTS = (T.DateType, T.TimestampNTZType)
 _ZERO_WHEN_ABSENT = (T.IntegerType, T.DoubleType)
 
 
@@ -25,15 +26,18 @@ def absent(data_type: T.DataType) -> Column:
 
 def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The declared columns in declared order and type."""
-    present = set(df.columns)
-    return df.select(
-        *(
-            (
-                typed(F.col(f.name), f.dataType) if f.name in present else absent(f.dataType)
-            ).alias(f.name)
-            for f in schema.fields
-        )
-    )
+    given = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(name: str, wanted: T.DataType) -> Column:
+        if name not in given:
+            return absent(wanted)
+        if given[name] == wanted:
+            return F.col(name)
+        if isinstance(wanted, T.TimestampType) and isinstance(given[name], _MOMENTS):
+            return F.col(name).cast(wanted)
+        return typed(F.col(name), wanted)
+
+    return df.select(*(column(f.name, f.dataType).alias(f.name) for f in schema.fields))
 
 
 def project(df: DataFrame, columns: list[str]) -> DataFrame:

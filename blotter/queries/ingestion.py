@@ -289,8 +289,9 @@ def _served(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
     page = F.floor(F.col("event_id") / schemas.PAGE_ROWS).alias("page")
     pages = events.select(page, F.to_json(F.struct(*events.columns)).alias("value"))
     pages.repartition("page").write.partitionBy("page").text(url)
-    pulled = read_paged(spark, f"file://{url}" if url.startswith("/") else url,
-                        events.count(), "event_id", pages_per_task=3)
+    # The folder as the executors' file system names it.
+    stored = spark.read.text(url).select(F.input_file_name()).first()[0].split("/page=")[0]
+    pulled = read_paged(spark, stored, events.count(), "event_id", pages_per_task=3)
     return pulled, events.schema
 
 

@@ -28,7 +28,7 @@ def _stored_page(url: str, order: str, limit: int, offset: int) -> list[str]:
     """A page kept as JSON lines in the folder ``page=<number>``, on any file system."""
     from pyarrow import fs
 
-    system, root = fs.FileSystem.from_uri(url)
+    system, root = fs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
     files = system.get_file_info(
         fs.FileSelector(f"{root}/page={offset // limit}", allow_not_found=True)
     )

@@ -41,6 +41,16 @@ def test_conform_nulls_what_does_not_convert(spark):
     assert tuple(conform_schema(df, SMALL).first()) == ("a", None, 1000.0, None)
 
 
+def test_conform_keeps_typed_columns(spark):
+    moment = datetime.datetime(2024, 1, 1, 2, 3, 4, 567)
+    df = spark.createDataFrame([(moment, 2**40)], "t timestamp_ntz, n bigint")
+    row = conform_schema(df, SMALL).first()
+    assert (row.t, row.n) == (moment, None)
+    again = conform_schema(conform_schema(df, SMALL), SMALL)
+    assert again.dtypes == [(f.name, f.dataType.simpleString()) for f in SMALL.fields]
+    assert again.first().t == moment
+
+
 def test_project(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
     assert project(df, ["c", "a"]).columns == ["c", "a"]
