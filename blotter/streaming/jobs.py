@@ -21,6 +21,8 @@ from blotter.sources.messages import Topic
 from blotter.sources.tables import Table, append, ensure_table, read_table
 from blotter.streaming.batches import run_batches
 
+FITS = T.StructType([T.StructField("rows", T.LongType()), T.StructField("batch", T.LongType())])
+
 
 def ingest_stream(
     stream: DataFrame,
@@ -133,16 +135,14 @@ def refit_stream(
     """Collect usable training records and refit once ``every`` new ones have come.
 
     Trees cannot continue from a fitted forest, so the model is refitted on the whole
-    training table. ``fitted`` logs the table size of each fit.
+    training table. ``fitted`` logs the table size and batch of each fit, and each model
+    has a folder of its own, so nobody reads one that is being replaced.
     """
-    log_schema = T.StructType(
-        [T.StructField("rows", T.LongType()), T.StructField("batch", T.LongType())]
-    )
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         ensure_table(spark, training, schemas.INCIDENTS)
-        ensure_table(spark, fitted, log_schema)
+        ensure_table(spark, fitted, FITS)
         flat = flatten(decode_value(batch), schemas.INCIDENTS, schemas.INCIDENT_KEY)
         records = unique_records(flat, schemas.INCIDENTS, schemas.INCIDENT_KEY)
         usable = known_label(model.clean(records), vocabularies.labels)
@@ -156,7 +156,13 @@ def refit_stream(
             return
         prepared = model.training_rows(model.clean(stored), vocabularies)
         refitted = model.train(prepared, **params)
-        model.save_model(model.Classifier(refitted, vocabularies), model_path)
-        append(spark.createDataFrame([(total, number)], log_schema), fitted)
+        model.save_model(model.Classifier(refitted, vocabularies), f"{model_path}/{number}")
+        append(spark.createDataFrame([(total, number)], FITS), fitted)
 
     return run_batches(stream, step, checkpoint, trigger)
+
+
+def refitted_model(spark: SparkSession, fitted: Table, model_path: str) -> model.Classifier:
+    """The model of the newest fit."""
+    newest = read_table(spark, fitted).agg(F.max("batch")).first()[0]
+    return model.load_model(spark, f"{model_path}/{newest}")

@@ -136,6 +136,44 @@ def test_batch_tables_are_dropped(spark, place, tmp_path, monkeypatch):
     assert written and not any(os.path.exists(p.removeprefix("file:")) for p in written)
 
 
+def test_refit_waits_for_enough_new_rows(spark, place, tmp_path):
+    from blotter.plans import model
+
+    def sent(first, n):
+        return [
+            f'{{"cmplnt_num":"k{i}","addr_pct_cd":{i % 3 + 1},"boro_nm":"BRONX","cmplnt_fr_dt":"2024-05-06",'
+            f'"cmplnt_fr_tm":"1{i % 10}:00:00","ofns_desc":"{"THEFT" if i % 2 else "FRAUD"}",'
+            f'"latitude":{40 + i % 2},"longitude":-73.9}}'
+            for i in range(first, first + n)
+        ]
+
+    seen = spark.createDataFrame(
+        [("THEFT", "1", "BRONX"), ("FRAUD", "2", "BRONX")], "ofns_desc string, addr_pct_cd string, boro_nm string"
+    )
+    fits = Table("parquet", str(tmp_path / "fits"))
+    vocabularies = model.fit_vocabularies(seen)
+
+    def run():
+        query = jobs.refit_stream(
+            message_source(spark, place.topic), place.target, fits, vocabularies, str(tmp_path / "model"),
+            place.state, every=10, trigger=ONCE, numTrees=2, maxDepth=2,
+        )
+        run_all([query], 300)
+        return [tuple(r) for r in read_table(spark, fits).orderBy("batch").collect()]
+
+    send(spark, place.topic, 0, 0, [*sent(0, 10), '{"cmplnt_num":"x","ofns_desc":"THEFT"}'])
+    assert run() == [(10, 0)]
+    vocabularies = jobs.refitted_model(spark, fits, str(tmp_path / "model")).vocabularies
+    send(spark, place.topic, 0, 20, sent(5, 9))  # five of them are stored already
+    assert run() == [(10, 0)]
+    send(spark, place.topic, 0, 30, sent(14, 6))
+    assert run() == [(10, 0), (20, 2)]
+    scored = model.score_batch(
+        jobs.refitted_model(spark, fits, str(tmp_path / "model")), read_table(spark, place.target)
+    )
+    assert scored.where("prediction = ofns_desc").count() == 20
+
+
 def test_one_failing_stream_stops_the_rest(spark, place):
     send(spark, place.topic, 0, 0, [record("a")])
 
