@@ -113,5 +113,38 @@ FROM cum WHERE epoch < epochs OR upto <= rest
 """
 
 
+_LEAKS = """
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM benchmark
+), sizes AS (
+    SELECT DISTINCT least(len(w), 10) AS n FROM b WHERE len(w) > 0
+), wanted AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS passage
+    FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+          FROM b WHERE len(w) > 0)
+), held AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS passage
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+), hits AS (
+    SELECT doc_id, i, n, item_id FROM held JOIN wanted USING (n, passage)
+), words AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM hits) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def build(mix) -> dict[str, str]:
-    return {"op4_chat_formatting": _CHAT, "op7_url_filters": _urls(), "op8_mixing": _mix(mix)}
+    return {"op2_decontamination": _LEAKS, "op4_chat_formatting": _CHAT, "op7_url_filters": _urls(), "op8_mixing": _mix(mix)}

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter.llm.oracles import build
 from blotter.llm.chat import rotate_perspectives
+from blotter.llm.decontamination import find_leaks
 from blotter.llm.mixing import Mix, mix_sources
 from blotter.llm.sharding import shard
+from blotter.llm.simhash import fingerprint, within_radius
+from blotter.llm.toxicity import learn, score_toxicity
 from blotter.llm.url_filters import filter_urls
 from blotter.llm.url_rules import RULES
+from blotter.session import materialise
 
 MIX = Mix(
     budget_pct=100,
@@ -23,6 +27,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=("doc_id",)
+    )
+    digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated"
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), 8)
 
@@ -31,6 +45,23 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate_perspectives(_table(spark, sf_dir, "conversations"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likeness of every document, and for the queries (doc_id divisible by 100) how many
+    other documents lie within the radius."""
+    marks = materialise(fingerprint(_table(spark, sf_dir, "documents")))
+    stored = materialise(marks.groupBy("_fp").agg(F.count(F.lit(1)).alias("_copies")))
+    asked = marks.where(F.col("doc_id") % 100 == 0).select("_fp").distinct()
+    near = (
+        within_radius(asked, stored.select("_fp"))
+        .join(stored.withColumnRenamed("_fp", "_found"), "_found")
+        .groupBy(F.col("_query").alias("_fp"))
+        .agg((F.sum("_copies") - 1).alias("n_near"))
+        .withColumn("_asks", F.lit(True))
+    )
+    asks = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False)).alias("_asks")
+    return marks.select("*", asks).join(near, ["_fp", "_asks"], "left").drop("_fp", "_asks")
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, RULES).drop("url")
@@ -40,7 +71,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), MIX, keep=("doc_id",))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    links = learn(docs, _table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, links, keep=("doc_id",))
+
+
 QUERIES = {
-    f.__name__: f for f in (op3_sharding, op4_chat_formatting, op7_url_filters, op8_mixing)
+    f.__name__: f
+    for f in (
+        op2_decontamination, op3_sharding, op4_chat_formatting, op5_fingerprints,
+        op7_url_filters, op8_mixing, op9_toxicity,
+    )
 }
 ORACLES = build(MIX)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from blotter.session import materialise
 
 BUNDLES = 16_384
-CELL_ROWS = 100_000
+CELL_ROWS = 2_000
 _MADE = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
