@@ -60,6 +60,7 @@ def allot(leaves: DataFrame, mix: Mix) -> DataFrame:
     weights up to 9000.
     """
     capacity = F.col("leaf_tokens") * mix.epochs
+    total = leaves.agg(F.coalesce(F.sum("leaf_tokens"), F.lit(0))).first()[0]
     budget: DataFrame | None = None
     for depth, level in enumerate(LEVELS):
         above, keys = list(LEVELS[:depth]), list(LEVELS[: depth + 1])
@@ -69,10 +70,7 @@ def allot(leaves: DataFrame, mix: Mix) -> DataFrame:
             weight = F.when(F.col(level) == name, F.lit(value)).otherwise(weight)
         nodes = nodes.withColumn("_w", weight.cast("bigint")).where(F.col("_w") > 0)
         if budget is None:
-            asked = leaves.agg(
-                F.expr(f"sum(leaf_tokens) * {mix.budget_pct} div 100").alias("budget")
-            )
-            nodes = nodes.join(F.broadcast(asked))  # one row
+            nodes = nodes.withColumn("budget", F.lit(total * mix.budget_pct // 100))
         else:
             nodes = nodes.join(budget, above)
         ordered = Window.partitionBy(*above).orderBy(F.col("_cap") / F.col("_w"), level)

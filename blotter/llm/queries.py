@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from blotter.llm.near_dedup import near_duplicates
 from blotter.llm.oracles import build
 from blotter.llm.chat import rotate_perspectives
+from blotter.llm.context_tree import score_texts
 from blotter.llm.decontamination import find_leaks
 from blotter.llm.mixing import Mix, mix_sources
 from blotter.llm.sharding import shard
@@ -27,6 +29,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs)[0].drop("chunk", "pos")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_leaks(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=("doc_id",)
@@ -77,11 +84,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, links, keep=("doc_id",))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_decontamination, op3_sharding, op4_chat_formatting, op5_fingerprints,
-        op7_url_filters, op8_mixing, op9_toxicity,
+        op1_near_dedup, op2_decontamination, op3_sharding, op4_chat_formatting, op5_fingerprints,
+        op7_url_filters, op8_mixing, op9_toxicity, op10_lm_scoring,
     )
 }
 ORACLES = build(MIX)
