@@ -12,6 +12,7 @@ from blotter.llm.decontamination import find_leaks
 from blotter.llm.mixing import Mix, mix_sources
 from blotter.llm.sharding import shard
 from blotter.llm.simhash import fingerprint, within_radius
+from blotter.llm.suffix_dedup import repeated_passages
 from blotter.llm.toxicity import learn, score_toxicity
 from blotter.llm.url_filters import filter_urls
 from blotter.llm.url_rules import RULES
@@ -69,6 +70,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.select("*", asks).join(near, ["_fp", "_asks"], "left").drop("_fp", "_asks")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, RULES).drop("url")
@@ -92,7 +97,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_decontamination, op3_sharding, op4_chat_formatting, op5_fingerprints,
-        op7_url_filters, op8_mixing, op9_toxicity, op10_lm_scoring,
+        op6_suffix_dedup, op7_url_filters, op8_mixing, op9_toxicity, op10_lm_scoring,
     )
 }
 ORACLES = build(MIX)
