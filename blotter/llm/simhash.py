@@ -46,14 +46,19 @@ def simhash(texts: list[bytes]) -> np.ndarray:
         weight = np.rint(256 * (1 + np.log(times))).astype(np.int32)
         terms, owner = terms[at], owner[at]
         bits = np.unpackbits(terms.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes = np.where(bits, weight[:, None], -weight[:, None]).astype(np.int32)
         first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
-        sums = np.add.reduceat(votes, first, axis=0, dtype=np.int64)
-        packed = np.packbits(sums > 0, axis=1, bitorder="little")
+        votes = np.add.reduceat(bits * weight[:, None], first, axis=0, dtype=sums_in(len(terms)))
+        every = np.add.reduceat(weight, first, dtype=np.int64)
+        packed = np.packbits(2 * votes.astype(np.int64) > every[:, None], axis=1, bitorder="little")
         result[low + owner[first]] = np.ascontiguousarray(packed).view(np.uint64).ravel()
     return result
 
 
+def sums_in(terms: int) -> type:
+    """The whole numbers that sums of so many weights fit; a weight is below 2^13."""
+    return np.int32 if terms < 1 << 18 else np.int64
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """1 less the share of bits that differ."""
     return 1 - np.bitwise_count(a ^ b) / BITS
@@ -78,9 +83,11 @@ _SCHEMA = (
 
 
 def _judge(ids: list, texts: list[str], following: list[str]) -> dict[str, list]:
+    """Judge texts that follow one another; ``following`` are the texts after each."""
     edited = [_edited(a, b).encode() for a, b in zip(texts, following)]
-    own = simhash([x.encode() for x in texts])
-    changed, after = simhash(edited), simhash([x.encode() for x in following])
+    # What follows a text is the next one, so all but the last come anyway.
+    marks = simhash([x.encode() for x in [*texts, following[-1]]])
+    own, after, changed = marks[:-1], marks[1:], simhash(edited)
     return {
         "doc_id": ids,
         "n_chars": list(map(len, texts)),
@@ -122,9 +129,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _last_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch["doc_id"].to_pylist(), batch["_text"].to_pylist()
-        if ids:
-            yield _batch(_judge(ids, texts, batch["_next"].to_pylist()))
+        for name, text, following in zip(*(batch[c].to_pylist() for c in ("doc_id", "_text", "_next"))):
+            yield _batch(_judge([name], [text], [following]))
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
