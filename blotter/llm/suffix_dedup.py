@@ -18,7 +18,7 @@ LEAST = 50
 GRAM = 10
 SPACING = 31
 #: Neighbours on either side that a suffix is compared with.
-REACH = 8
+REACH = 64
 RUN_BYTES = 1 << 20
 _KEY = np.uint64(0xFFFFFFFFFFFF0000)
 
