@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from blotter.llm.columns import others
 from blotter.llm.words import as_bytes, grams, hash_words, letters, runs
 
 WINDOW = 10
@@ -147,7 +148,7 @@ def find_leaks(
         "n_words bigint, n_hit bigint, spans array<struct<first:int,last:int>>, "
         "n_items bigint, item_ids array<string>, contaminated boolean"
     )
-    kept = [c for c in (keep or docs.columns) if c not in made.names]
+    kept = others(keep or docs.columns, made.names)
     state = T.StructType.fromDDL("_spans binary, _items array<string>")
     frame = docs.select(
         *dict.fromkeys([*(c for c in kept), "text"]),

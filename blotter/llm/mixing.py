@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from blotter.llm.columns import others
 from blotter.operators.joins import lookup
 from blotter.session import materialise
 
@@ -124,16 +125,18 @@ def mix_sources(docs: DataFrame, mix: Mix, keep: tuple[str, ...] | None = None)
     equal ones. A leaf of weight 0, or without tokens, is left out.
     """
     made = ("domain", "leaf_lang", "leaf_source", "epoch", "n_tokens", "leaf_tokens", "budget")
-    kept = [c for c in (keep or docs.columns) if c not in made]
+    kept = others(keep or docs.columns, made)
     marked = with_leaf(docs.select(*dict.fromkeys([*kept, "doc_id", "text", "lang", "source"])))
     marked = marked.withColumnsRenamed(
         {"_domain": "domain", "_lang": "leaf_lang", "_source": "leaf_source", "_tokens": "n_tokens"}
     )
     leaf = ["domain", "leaf_lang", "leaf_source"]
+    # Tokens of whole texts are counted once.
+    narrow = materialise(marked.select("doc_id", *leaf, "n_tokens"))
     if set(kept) <= {"doc_id"}:
-        marked = materialise(marked.select("doc_id", *leaf, "n_tokens"))
+        marked = narrow
     leaves = (
-        marked.groupBy(*leaf).agg(F.sum("n_tokens").alias("leaf_tokens"))
+        narrow.groupBy(*leaf).agg(F.sum("n_tokens").alias("leaf_tokens"))
         .where(F.col("leaf_tokens") > 0)
         .withColumnsRenamed({"leaf_lang": "lang", "leaf_source": "source"})
     )
@@ -144,17 +147,18 @@ def mix_sources(docs: DataFrame, mix: Mix, keep: tuple[str, ...] | None = None)
             {"_epochs": F.expr("budget div leaf_tokens"), "_rest": F.expr("budget % leaf_tokens")}
         )
     )
-    drawn = (
-        lookup(marked, shares, leaf, "inner")
-        .withColumn(
-            "epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_epochs")))
+
+    def draws(frame: DataFrame, first: Column) -> DataFrame:
+        return (
+            lookup(frame, shares, leaf, "inner")
+            .withColumn("epoch", F.explode(F.sequence(first, F.col("_epochs"))))
+            .withColumn("_order", _order(F.col("epoch"), mix.seed))
+            .withColumn("_slice", F.substring("_order", 1, DIGITS))
         )
-        .withColumn("_order", _order(F.col("epoch"), mix.seed))
-        .withColumn("_slice", F.substring("_order", 1, DIGITS))
-    )
+
     partial = F.col("epoch") == F.col("_epochs")
     slices = (
-        drawn.where(partial).groupBy(*leaf, "_rest", "_slice").agg(F.sum("n_tokens").alias("_n"))
+        draws(narrow, F.col("_epochs")).groupBy(*leaf, "_rest", "_slice").agg(F.sum("n_tokens").alias("_n"))
     )
     running = Window.partitionBy(*leaf).orderBy("_slice")
     cut = materialise(
@@ -166,7 +170,7 @@ def mix_sources(docs: DataFrame, mix: Mix, keep: tuple[str, ...] | None = None)
         .agg(F.min(F.struct("_slice", "_start")).alias("_cut"))
         .select(*leaf, F.col("_cut._slice").alias("_last"), F.col("_cut._start").alias("_start"))
     )
-    placed = lookup(drawn, cut, leaf, "left")
+    placed = lookup(draws(marked, F.lit(0).cast("bigint")), cut, leaf, "left")
     whole = placed.where(~partial | (F.col("_slice") < F.col("_last")))
     # The slice of a leaf in which its prefix ends: one part in 65 536 of the leaf.
     inside = Window.partitionBy(*leaf).orderBy("_order").rowsBetween(Window.unboundedPreceding, 0)

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from blotter.llm.columns import others
 from blotter.session import materialise
 
 BUNDLES = 16_384
@@ -75,7 +76,7 @@ def shard(
     input with one of these names are replaced. Repeated rows get a slot each; a null
     doc_id sorts first; no rows in, no rows out.
     """
-    carry = tuple(c for c in carry if c not in _MADE and c != "doc_id")
+    carry = others(carry, (*_MADE, "doc_id"))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = materialise(
         docs.select(

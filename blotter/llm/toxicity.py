@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from blotter.llm.columns import others
 from blotter.llm.words import as_bytes, hash_words, letters, mix, owners, runs
 
 #: Labelled documents that the chain is fitted on, at most; the smallest hashes of doc_id.
@@ -96,17 +97,16 @@ def _predict(link: Link, words, owner, n, chained) -> np.ndarray:
     return _sigmoid(score)
 
 
-def fit_chain(texts: list[bytes], labels: np.ndarray, names: list[int]) -> list[Link]:
+def fit_chain(sets: list[np.ndarray], labels: np.ndarray, names: list[int]) -> list[Link]:
     """One link for each column of ``labels``, in order.
 
     Later links see the probabilities of earlier categories. In training these are
     out-of-fold: each document's comes from a link fitted on the other folds, as an unseen
-    document's would. Texts with the same set of words count once.
+    document's would. ``sets`` are the distinct words of each document; equal sets count once.
     """
-    parts = [(w, o + low) for low, w, o in word_sets(texts)]
-    words = np.concatenate([w for w, _ in parts]) if parts else np.empty(0, np.uint64)
-    owner = np.concatenate([o for _, o in parts]) if parts else np.empty(0, np.int64)
-    n = len(texts)
+    n = len(sets)
+    words = np.concatenate([*sets, np.empty(0, np.uint64)])
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
     sums = np.zeros(n, np.uint64)
     np.add.at(sums, owner, mix(words))
     _, kept = np.unique(sums, return_index=True)
@@ -137,6 +137,21 @@ def fit_chain(texts: list[bytes], labels: np.ndarray, names: list[int]) -> list[
     return links
 
 
+def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts' distinct words, so that what meets in the task of the fit is small."""
+    for batch in batches:
+        texts = as_bytes(batch["text"])
+        sets = [b""] * len(texts)
+        for low, words, owner in word_sets(texts):
+            for i in np.unique(owner):
+                a, b = np.searchsorted(owner, [i, i + 1])
+                sets[low + i] = words[a:b].tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [batch["_id"].cast(pa.int64()), batch["_low"], batch["_toxic"], pa.array(sets, pa.binary())],
+            names=["_id", "_low", "_toxic", "_words"],
+        )
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Link]:
     """Fit the chain on at most ``sample`` labelled documents, in one task.
 
@@ -158,7 +173,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Link
     chosen = (
         docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
         .dropDuplicates(["_id"])
-        .select("_id", "_low", "_toxic", "text", F.lit(0).alias("_all"))
+        .select("_id", "_low", "_toxic", "text")
+        .mapInArrow(_as_sets, "_id long, _low double, _toxic double, _words binary")
+        .withColumn("_all", F.lit(0))
     )
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
@@ -166,7 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Link
         target = frame[["_low", "_toxic"]].to_numpy()
         target = np.column_stack([target, target.max(axis=1)])
         links = fit_chain(
-            [(t or "").encode() for t in frame["text"]], target, frame["_id"].tolist()
+            [np.frombuffer(x, np.uint64) for x in frame["_words"]], target, frame["_id"].tolist()
         )
         return pd.DataFrame(
             {
@@ -180,7 +197,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Link
 
     schema = "at int, words binary, weights binary, chained binary, constant double"
     # At most FEATURES words for each category reach the driver.
-    rows = chosen.groupBy("_all").applyInPandas(fit, schema).orderBy("at").collect()
+    rows = chosen.groupBy("_all").applyInPandas(fit, schema).collect()
+    rows.sort(key=lambda r: r["at"])
     if not rows:
         none = np.empty(0)
         return [
@@ -208,7 +226,7 @@ def score_toxicity(
     made = T.StructType.fromDDL(
         "n_words bigint, " + ", ".join(f"p_{c} double" for c in CATEGORIES) + ", toxic boolean"
     )
-    kept = [c for c in (keep or docs.columns) if c not in made.names]
+    kept = others(keep or docs.columns, made.names)
     frame = docs.select(*dict.fromkeys([*kept, "text"]))
     fields = {f.name: f for f in frame.schema.fields}
 

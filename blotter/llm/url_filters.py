@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from blotter.llm.columns import others
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_RULE_BYTES = 16 * 1024 * 1024
 _EDGE = "[^A-Za-z0-9]"
@@ -93,7 +95,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], default: str = "allow") ->
     Repeated rows are judged alike. Input columns named host, path, rule or verdict are
     replaced; others are kept.
     """
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    kept = others(pages.columns, ("host", "path", "rule", "verdict"))
     rules_table = _rule_table(pages.sparkSession, rules)
     host, path = _parts(F.col("_url"))
     urls = (
