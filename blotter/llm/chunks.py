@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame, functions as F
 from blotter.operators.joins import BROADCAST_BYTES
 from blotter.session import materialise, scratch
 
-CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
+#: Text in a chunk, and keys in a bucket: a worker holds some ten times as much. Larger ones
+#: mean fewer and longer arrays; raise both with the memory of the executors.
+CHUNK_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
 #: Row groups of the table of chunks; a reader holds one of them.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 
 
 def pack(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

@@ -146,12 +146,15 @@ def mix_sources(docs: DataFrame, mix: Mix, keep: tuple[str, ...] | None = None)
         .withColumns(
             {"_epochs": F.expr("budget div leaf_tokens"), "_rest": F.expr("budget % leaf_tokens")}
         )
+        .where("budget > 0")
+        .withColumn("_last_epoch", F.expr("if(_rest > 0, _epochs, _epochs - 1)"))
     )
 
     def draws(frame: DataFrame, first: Column) -> DataFrame:
         return (
             lookup(frame, shares, leaf, "inner")
-            .withColumn("epoch", F.explode(F.sequence(first, F.col("_epochs"))))
+            .where(first <= F.col("_last_epoch"))
+            .withColumn("epoch", F.explode(F.sequence(first, F.col("_last_epoch"))))
             .withColumn("_order", _order(F.col("epoch"), mix.seed))
             .withColumn("_slice", F.substring("_order", 1, DIGITS))
         )

@@ -18,7 +18,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 FIRST_BLOCK, GROWTH = 16, 8
-RUN_BYTES = 1 << 18
+RUN_BYTES = 1 << 16
 _KEY = np.uint64(0xFFFFFFFFFFFF0000)
 
 
@@ -75,6 +75,7 @@ class Sampler:
         share[x < 1e-2] = x[x < 1e-2] ** 2 / 2
         quantiles = lambda bits: np.interp((np.arange(1 << bits) + 0.5) / (1 << bits), share, x)
         self.r = quantiles(16).astype(np.float32)
+        self.b = ((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
         self.log_c = np.log(quantiles(18)).astype(np.float32)
 
     def bands_of(self, hashes: np.ndarray, weights: np.ndarray, owner: np.ndarray):
@@ -84,29 +85,37 @@ class Sampler:
         t = floor(ln w / r + b), where r and c are Gamma(2, 1) and b is uniform, all taken
         from the element's hash: two weighted sets agree in a sample with a probability of
         their weighted Jaccard similarity. What is kept of it is a itself, which depends
-        on the element and t alone, with some bits of the element.
+        on the element and t alone.
         """
         first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         log_w = np.log(weights)
-        low = (hashes >> np.uint64(16)) & np.uint64(0xFFFFFFFF)
+        z, field = np.empty_like(hashes), np.empty_like(hashes)
+        r, b, t = (np.empty(len(hashes), np.float32) for _ in range(3))
         result = np.empty((len(first), self.bands), np.uint64)
         band = np.zeros(len(first), np.uint64)
         for k in range(self.bands * self.rows):
             seed = np.uint64(((k + 1) * _FACTOR * 2 + 1) & 0xFFFFFFFFFFFFFFFF)
-            z = hashes * seed
-            z ^= z >> np.uint64(31)
-            z *= np.uint64(0xBF58476D1CE4E5B9)
-            z ^= z >> np.uint64(29)
-            r = self.r[z & np.uint64(0xFFFF)]
-            b = ((z >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.float32)
-            b += np.float32(0.5)
-            b *= np.float32(1 / 65536)
-            t = np.floor(log_w / r + b)
-            log_a = self.log_c[(z >> np.uint64(32)) & np.uint64(0x3FFFF)] - r * (t - b + 1)
-            bits = log_a.view(np.int32).astype(np.int64)
-            bits ^= (bits >> 31) & 0x7FFFFFFF
-            packed = (bits << 32) | low.view(np.int64)
-            sample = np.minimum.reduceat(packed, first).view(np.uint64)
+            np.multiply(hashes, seed, out=z)
+            np.right_shift(z, np.uint64(31), out=field)
+            np.bitwise_xor(z, field, out=z)
+            np.multiply(z, np.uint64(0xBF58476D1CE4E5B9), out=z)
+            # Three fields from the upper, best mixed bits.
+            np.right_shift(z, np.uint64(48), out=field)
+            np.take(self.r, field.view(np.int64), out=r, mode="clip")
+            np.right_shift(z, np.uint64(32), out=field)
+            np.bitwise_and(field, np.uint64(0xFFFF), out=field)
+            np.take(self.b, field.view(np.int64), out=b, mode="clip")
+            np.divide(log_w, r, out=t)
+            np.add(t, b, out=t)
+            np.floor(t, out=t)
+            np.subtract(t, b, out=t)
+            np.add(t, np.float32(1), out=t)
+            np.multiply(t, r, out=t)
+            np.right_shift(z, np.uint64(14), out=field)
+            np.bitwise_and(field, np.uint64(0x3FFFF), out=field)
+            np.take(self.log_c, field.view(np.int64), out=b, mode="clip")
+            np.subtract(b, t, out=t)
+            sample = np.minimum.reduceat(t, first).view(np.uint32).astype(np.uint64)
             if k % self.rows == 0:
                 band = np.full(len(first), k + 1, np.uint64)
             band = mix(band * np.uint64(_FACTOR) + sample)
@@ -197,7 +206,7 @@ def _vectors(size: int, documents: int):
                     weights = idf_weights(times[a:b], expand(want["held"]), documents)
                     own = hashes[a:b].tobytes(), weights.tobytes()
                     out += [(want["a"], b_, *own) for b_ in want["bs"]]
-                    if sum(len(x[2]) for x in out) > 4 * RUN_BYTES:
+                    if sum(len(x[2]) for x in out) > 16 * RUN_BYTES:
                         yield _as_batch(out)
                         out = []
             yield _as_batch(out)
@@ -214,14 +223,16 @@ def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sides = [
-            [np.frombuffer(x, kind) for x in batch[name].to_pylist()]
-            for name, kind in (
-                ("hashes", np.uint64), ("weights", np.float32),
-                ("hashes2", np.uint64), ("weights2", np.float32),
+        similar = []
+        for i in range(batch.num_rows):
+            a, b, c, d = (
+                np.frombuffer(batch[name][i].as_buffer(), kind)
+                for name, kind in (
+                    ("hashes", np.uint64), ("weights", np.float32),
+                    ("hashes2", np.uint64), ("weights2", np.float32),
+                )
             )
-        ]
-        similar = [weighted_jaccard((a, b), (c, d)) for a, b, c, d in zip(*sides)]
+            similar.append(weighted_jaccard((a, b), (c, d)))
         yield pa.RecordBatch.from_arrays(
             [batch["a"], batch["b"], pa.array(similar, pa.float64())], names=["a", "b", "similarity"]
         )

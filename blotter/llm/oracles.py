@@ -109,7 +109,7 @@ WITH d AS (
 )
 SELECT doc_id, domain, lang AS leaf_lang, source AS leaf_source, cast(epoch AS BIGINT) AS epoch,
     cast(n_tokens AS BIGINT) AS n_tokens, leaf_tokens, budget
-FROM cum WHERE epoch < epochs OR upto <= rest
+FROM cum WHERE epoch < epochs OR (rest > 0 AND upto <= rest)
 """
 
 

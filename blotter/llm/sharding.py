@@ -77,11 +77,12 @@ def shard(
     doc_id sorts first; no rows in, no rows out.
     """
     carry = others(carry, (*_MADE, "doc_id"))
+    carried = [F.struct(*carry).alias("_carried")] if carry else []
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = materialise(
         docs.select(
             "doc_id",
-            *carry,
+            *carried,
             (F.octet_length(text).cast("bigint") + 1).alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.md5(text.cast("binary")).alias("_key"),
@@ -132,7 +133,7 @@ def shard(
         rows.join(starts, ["_bundle", "_cell"])
         .withColumn("slot", F.col("_start") + F.row_number().over(within) - 1)
         .select(
-            "doc_id", *carry, "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+            "doc_id", *(["_carried.*"] if carry else []), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
             F.col("slot").cast("bigint").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
         )
