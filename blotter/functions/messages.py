@@ -24,9 +24,16 @@ def to_json_value(df: DataFrame) -> DataFrame:
 
 
 def _elements(key: str) -> Column:
-    """The elements of ``_doc`` with their key, or one entry with a ``fault``."""
+    """The elements of ``_doc`` with their key, or one entry with a ``fault`` and the text.
+
+    Only a fault carries the text of the message: beside every element it would grow with
+    the square of a list's length.
+    """
     def entry(element: Column, fault: str | None = None) -> Column:
-        return F.struct(element.alias("e"), F.lit(fault).cast("string").alias("fault"))
+        text = F.lit(None).cast("string") if fault is None else F.col("raw")
+        return F.struct(
+            element.alias("e"), F.lit(fault).cast("string").alias("fault"), text.alias("text")
+        )
 
     none = F.lit(None).cast("variant")
     # In valid JSON the first character already tells the type of the whole.
@@ -40,11 +47,16 @@ def _elements(key: str) -> Column:
     )
     keyed = F.transform(
         entries,
-        lambda x: F.struct(x["e"], x["fault"], F.try_variant_get(x["e"], f"$.{key}", "variant").alias("key")),
+        lambda x: F.struct(
+            x["e"], x["fault"], x["text"],
+            F.try_variant_get(x["e"], f"$.{key}", "variant").alias("key"),
+        ),
     )
     return F.transform(
         keyed,
-        lambda x: F.struct(x["e"], x["fault"], x["key"], F.schema_of_variant(x["key"]).alias("kind")),
+        lambda x: F.struct(
+            x["e"], x["fault"], x["text"], x["key"], F.schema_of_variant(x["key"]).alias("kind")
+        ),
     )
 
 
@@ -80,7 +92,7 @@ def flatten(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     empty list gives no row at all.
     """
     parsed = messages.withColumn("_doc", F.try_parse_json("raw"))
-    elements = parsed.select("part", "off", "raw", F.posexplode(_elements(key)).alias("pos", "_item"))
+    elements = parsed.select("part", "off", F.posexplode(_elements(key)).alias("pos", "_item"))
     reason = _reason(schema[key].dataType)
     # All fields leave the variant in one pass, as text, and are typed afterwards.
     texts = ", ".join(f"`{name}` string" for name in schema.names)
@@ -91,7 +103,7 @@ def flatten(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
         "pos",
         reason.alias("reason"),
         # A rejected element keeps its own text, not that of the list around it.
-        F.when(reason.isNotNull(), F.coalesce(F.to_json("_item.e"), F.col("raw"))).alias("raw"),
+        F.when(reason.isNotNull(), F.coalesce(F.to_json("_item.e"), F.col("_item.text"))).alias("raw"),
         *(typed(F.col("_fields")[f.name], f.dataType).alias(f.name) for f in schema.fields),
     )
 

@@ -47,14 +47,14 @@ def search(
     """Rows whose column contains the upper-cased term; ``All`` looks into every one.
 
     A term shorter than ``min_length`` leaves the data as it is. ``%`` and ``_`` in the
-    term keep their LIKE meaning.
+    term keep their LIKE meaning; a backslash is a plain character.
     """
     if len(term) < min_length:
         return df
     if column != "All" and column not in schemas.SEARCH_COLUMNS:
         raise ValueError(f"cannot search {column!r}")
     names = schemas.SEARCH_COLUMNS if column == "All" else [column]
-    pattern = f"%{term.upper()}%"
+    pattern = "%{}%".format(term.upper().replace("\\", "\\\\"))
     hits = (F.coalesce(F.col(c).cast("string").like(pattern), F.lit(False)) for c in names)
     return df.where(reduce(or_, hits))
 

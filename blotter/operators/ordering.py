@@ -44,4 +44,4 @@ def page_slice(df: DataFrame, limit: int, offset: int, order: list[str | Column]
         return df.orderBy(*order).offset(offset).limit(limit)
     indexed = global_index(df, order)
     inside = (F.col("_index") >= offset) & (F.col("_index") < offset + limit)
-    return indexed.where(inside).drop("_index")
+    return indexed.where(inside).orderBy("_index").drop("_index")

@@ -47,14 +47,18 @@ def ingest_into(
 ) -> dict[str, int]:
     """Ingest one batch into its table; counts of keys and of inserted rows.
 
-    The batch is parsed once, whether or not its rejects are kept.
+    The batch is parsed once, whether or not its rejects are kept. A batch that comes again
+    adds neither rows nor rejects.
     """
     spark = messages.sparkSession
     ensure_table(spark, target, schema)
     flat = flatten(decode_value(messages), schema, key)
     if reject_table is not None:
         flat = materialise(flat)
-        append(rejects(flat), reject_table)
+        refused = rejects(flat)
+        ensure_table(spark, reject_table, refused.schema)
+        known = read_table(spark, reject_table).select(*ARRIVAL)
+        append(refused.join(known, ARRIVAL, "left_anti").select(refused.columns), reject_table)
     records = materialise(unique_records(flat, schema, key))
     fresh = insert_if_absent(records, read_table(spark, target), key)
     seen = Observation()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import time
+import uuid
 from dataclasses import dataclass
 from itertools import product
 
@@ -15,9 +17,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter import schemas
-from blotter.functions.clock import cyclic_features, time_features
+from blotter.functions.clock import cyclic_features, hour_of, parse_date, time_features
 from blotter.operators.encoding import label_decode, label_encode, ordinal_encode, vocabulary
-from blotter.operators.filters import require
+from blotter.operators.filters import check_request, require
 from blotter.operators.keys import keep_first
 from blotter.operators.labels import keep_labels, known_label, top_k_labels
 from blotter.operators.metrics import accuracy, classification_report
@@ -168,8 +170,26 @@ def predict_codes(model: Model | dict[int, GBTClassificationModel], rows: DataFr
     )
 
 
+def split_scorable(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests that can be scored, and the others with a ``reason``.
+
+    The reason names the first required field that is missing, else the first of date,
+    time and coordinates that is none.
+    """
+    faults = {
+        "cmplnt_fr_dt": parse_date(F.col("cmplnt_fr_dt")),
+        "cmplnt_fr_tm": hour_of(F.col("cmplnt_fr_tm").cast("string")),
+        "latitude": F.col("latitude").try_cast("double"),
+        "longitude": F.col("longitude").try_cast("double"),
+    }
+    bad = [F.when(value.isNull(), F.lit(f"bad {name}")) for name, value in faults.items()]
+    checked = check_request(requests).withColumn("reason", F.coalesce("reason", *bad))
+    accepted = checked.where(F.col("reason").isNull()).select(requests.columns)
+    return accepted, checked.where(F.col("reason").isNotNull())
+
+
 def score_batch(classifier: Classifier, requests: DataFrame) -> DataFrame:
-    """Add ``prediction`` and ``probability``; rows whose date or time is none are dropped."""
+    """Add ``prediction`` and ``probability`` to the rows that ``split_scorable`` accepts."""
     timed = cyclic_features(require(time_features(requests), ["month", "hour"]))
     rows = require(feature_matrix(timed, classifier.vocabularies), ["lat", "lon"])
     scored = predict_codes(classifier.model, rows)
@@ -183,7 +203,13 @@ def percent(probability: str = "probability"):
 
 
 def save_model(classifier: Classifier, path: str) -> None:
-    """Write model and vocabularies below ``path``, replacing what is there."""
+    """Write model and vocabularies to a fresh folder below ``path`` and name it the newest.
+
+    Earlier versions stay as they are, so a model may be saved where it was loaded from,
+    and whoever reads ``path`` meanwhile gets a whole version.
+    """
+    at = time.time_ns()
+    root, path = path, f"{path}/version-{at}-{uuid.uuid4().hex[:8]}"
     if isinstance(classifier.model, dict):
         for code, one in classifier.model.items():
             one.write().overwrite().save(f"{path}/boosted/{code}")
@@ -196,10 +222,14 @@ def save_model(classifier: Classifier, path: str) -> None:
     classifier.vocabularies.labels.write.mode("overwrite").parquet(f"{path}/labels")
     for column, vocab in classifier.vocabularies.categories.items():
         vocab.write.mode("overwrite").parquet(f"{path}/categories/{column}")
+    named = spark.createDataFrame([(at, path.rpartition("/")[2])], "at long, folder string")
+    named.coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
 
 def load_model(spark: SparkSession, path: str) -> Classifier:
-    """Read what ``save_model`` wrote."""
+    """The newest version that ``save_model`` wrote."""
+    newest = spark.read.parquet(f"{path}/versions").agg(F.max_by("folder", "at")).first()[0]
+    path = f"{path}/{newest}"
     codes = sorted(row.code for row in spark.read.parquet(f"{path}/codes").collect())
     model: Model | dict[int, GBTClassificationModel]
     if codes:

@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.functions.messages import to_json_value
+from blotter.sources.guard import ForbiddenQuery
 from blotter.sources.messages import Topic, publish
 from blotter.sources.tables import Table, query_session, read_query
 
 
+#: Whatever a request can fail with while it is analysed or runs.
+FAILURES = (PySparkException, Py4JJavaError, ForbiddenQuery)
+
+
 def _error(spark: SparkSession, failure: Exception) -> DataFrame:
-    return spark.createDataFrame([(str(failure),)], "error string")
+    text = str(failure.java_exception) if isinstance(failure, Py4JJavaError) else str(failure)
+    return spark.createDataFrame([(text,)], "error string")
 
 
 def run_request(spark: SparkSession, sql: str, database: Table | None = None) -> DataFrame:
     """The result of one request, or one row ``error`` when it cannot be analysed."""
     try:
         return read_query(spark, sql, database)
-    except PySparkException as failure:
+    except FAILURES as failure:
         return _error(spark, failure)
 
 
@@ -34,7 +41,7 @@ def answer(
     """
     try:
         send(to_json_value(read_query(spark, sql, database)))
-    except PySparkException as failure:
+    except FAILURES as failure:
         send(to_json_value(_error(spark, failure)))
 
 

@@ -282,7 +282,9 @@ def acknowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.acknowledge(messages(spark, sf_dir), acks(spark, sf_dir))
 
 
-def _served(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
+def _served(
+    spark: SparkSession, sf_dir: str, where: dict[str, str] | None = None
+) -> tuple[DataFrame, T.StructType]:
     """Events kept as pages of 1000 JSON records, pulled page by page by many tasks."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     url = scratch(spark, "pages")
@@ -291,7 +293,7 @@ def _served(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
     pages.repartition("page").write.partitionBy("page").text(url)
     # The folder as the executors' file system names it.
     stored = spark.read.text(url).select(F.input_file_name()).first()[0].split("/page=")[0]
-    pulled = read_paged(spark, stored, events.count(), "event_id", pages_per_task=3)
+    pulled = read_paged(spark, stored, "event_id", pages_per_task=3, where=where)
     return pulled, events.schema
 
 
@@ -301,6 +303,12 @@ def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pulled.select(F.from_json("value", schema).alias("e")).select("e.*")
 
 
+@query("SELECT event_id, event_type, value FROM events WHERE event_type = 'click'")
+def paged_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pulled, schema = _served(spark, sf_dir, {"event_type": "click"})
+    return pulled.select(F.from_json("value", schema).alias("e")).select("e.*")
+
+
 @query("SELECT event_id, event_type, value FROM events")
 def publish_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pulled record sent on as one message."""
@@ -339,17 +347,28 @@ def given_tables(sf_dir: str) -> dict[str, Table]:
 REQUESTS_SQL = """
 SELECT r_name AS boro, event_type AS kind, count(*) AS n, false AS failed
 FROM events JOIN region ON r_regionkey = user_id % 5 GROUP BY r_name, event_type
-UNION ALL SELECT NULL, NULL, NULL, true FROM region, range(0, 3)"""
+UNION ALL SELECT NULL, NULL, NULL, true FROM region, range(0, 8)"""
 
 
 def requests_of(region: DataFrame) -> DataFrame:
-    """Per region one good request and three that must fail, each in another way."""
+    """Per region one good request and eight that must fail, each in another way."""
     good = F.format_string(
         "SELECT r_name AS boro, event_type AS kind, count(*) AS n FROM events "
         "JOIN region ON r_regionkey = user_id %% 5 WHERE r_name = '%s' GROUP BY 1, 2",
         "r_name",
     )
-    bad = ["DROP TABLE events", "SELECT no_such_column FROM events", "SELECT 1 / (user_id - user_id) AS x FROM events"]
+    spark = region.sparkSession
+    spark.range(1).createOrReplaceGlobalTempView("kept_apart")
+    bad = [
+        "DROP TABLE events",
+        "SELECT no_such_column FROM events",
+        "SELECT 1 / (user_id - user_id) AS x FROM events",
+        f"SELECT count(*) AS n FROM parquet.`{region.inputFiles()[0]}`",
+        "SELECT count(*) AS n FROM global_temp.kept_apart",
+        "SELECT java_method('java.lang.System', 'setProperty', 'blotter.probe', 'x') AS x FROM region",
+        "SELECT (SELECT r_name FROM region) AS x",
+        "SELECT 1 AS x; SELECT 2 AS x",
+    ]
     return region.select(F.explode(F.array(good, *map(F.lit, bad))).alias("sql_query"))
 
 

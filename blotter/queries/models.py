@@ -44,7 +44,7 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sound(classifier: model.Classifier, scored: DataFrame, *keep: str) -> DataFrame:
     """Per scored row: whether its label is known and its probability possible."""
     known = classifier.vocabularies.labels
-    names = [row.value for row in known.limit(TOP + 1).collect()]
+    names = [row.value for row in known.collect()]  # the top labels of the model, few
     floor = 1 / len(names) - 1e-9
     return scored.select(
         *keep,
@@ -93,6 +93,30 @@ def score_batch_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sound(classifier, model.score_batch(classifier, _requests(spark, sf_dir)), "cmplnt_num")
 
 
+@query(
+    """WITH asked AS (
+  SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'missing latitude' WHEN 1 THEN 'bad cmplnt_fr_dt'
+    WHEN 2 THEN 'bad cmplnt_fr_tm' WHEN 3 THEN 'bad longitude' END AS reason FROM events
+)
+SELECT cast(event_id AS varchar) AS cmplnt_num, reason FROM asked"""
+)
+def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request with the reason why it cannot be scored, or none if it can."""
+    number = F.col("cmplnt_num").cast("bigint") % 6
+    spoil = lambda column, k, bad: F.when(number == k, F.lit(bad)).otherwise(F.col(column).cast("string"))
+    asked = _requests(spark, sf_dir).withColumns(
+        {
+            "latitude": spoil("latitude", 0, None),
+            "cmplnt_fr_dt": spoil("cmplnt_fr_dt", 1, "no date"),
+            "cmplnt_fr_tm": spoil("cmplnt_fr_tm", 2, "25:00:00"),
+            "longitude": spoil("longitude", 3, "west"),
+        }
+    )
+    accepted, rejected = model.split_scorable(asked)
+    none = F.lit(None).cast("string").alias("reason")
+    return accepted.select("cmplnt_num", none).unionAll(rejected.select("cmplnt_num", "reason"))
+
+
 @query("SELECT cast(event_id AS varchar) AS cmplnt_num, true AS label_known, true AS probability_sound FROM events")
 def score_boosted_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     classifier, _ = _fitted(spark, sf_dir, "boosted", maxIter=3, maxDepth=3)

@@ -11,6 +11,9 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 SPLIT_BYTES = 128 * 1024 * 1024
+#: Beyond a few ten thousand partitions a shuffle costs the driver more than it saves.
+SHUFFLE_BYTES = 512 * 1024 * 1024
+MOST_PARTITIONS = 20_000
 _tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
 
 
@@ -22,8 +25,8 @@ def build_session(
 ) -> SparkSession:
     """A session for these jobs; the master comes from spark-submit unless given.
 
-    ``input_bytes`` sizes the shuffle so that one partition stays near 128 MB before
-    adaptive execution merges small ones and splits skewed ones.
+    ``input_bytes`` sizes the shuffle so that one partition stays near 512 MB before
+    adaptive execution merges small ones and splits skewed ones; their number is bounded.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -36,7 +39,7 @@ def build_session(
         builder = builder.master(master)
     if input_bytes:
         builder = builder.config(
-            "spark.sql.shuffle.partitions", str(max(200, -(-input_bytes // SPLIT_BYTES)))
+            "spark.sql.shuffle.partitions", str(min(MOST_PARTITIONS, max(200, -(-input_bytes // SHUFFLE_BYTES))))
         )
     for name, value in (conf or {}).items():
         builder = builder.config(name, value)

@@ -1,7 +1,9 @@
-"""A dataset served in pages, read by many tasks at once.
+"""A dataset served in pages, read by many tasks at once, up to its first empty page.
 
 Each input partition covers a range of pages and asks for them one after another, so
-neither the driver nor any one task ever holds the whole dataset.
+neither the driver nor any one task ever holds the whole dataset. The number of pages is
+looked for, not stated; the last range goes on until a page is empty, so records that are
+added meanwhile come as well.
 """
 
 from __future__ import annotations
@@ -18,22 +20,32 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from blotter import schemas
 
 
-def _http_page(url: str, order: str, limit: int, offset: int) -> list[str]:
-    query = urllib.parse.urlencode({"$order": order, "$limit": limit, "$offset": offset})
+class MissingPage(ValueError):
+    """A page that is missing, or too short, before the end of the dataset."""
+
+
+def _http_page(url: str, order: str, limit: int, page: int, where: dict[str, str]) -> list[str]:
+    query = urllib.parse.urlencode(
+        {**where, "$order": order, "$limit": limit, "$offset": page * limit}
+    )
     with urllib.request.urlopen(f"{url}?{query}", timeout=60) as answer:
         return [json.dumps(record) for record in json.load(answer)]
 
 
-def _stored_page(url: str, order: str, limit: int, offset: int) -> list[str]:
+def _folder(url: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
+
+
+def _stored_page(url: str, page: int) -> list[str]:
     """A page kept as JSON lines in the folder ``page=<number>``, on any file system."""
     from pyarrow import fs
 
-    system, root = fs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
-    files = system.get_file_info(
-        fs.FileSelector(f"{root}/page={offset // limit}", allow_not_found=True)
-    )
+    system, root = _folder(url)
+    found = fs.FileSelector(f"{root}/page={page}", allow_not_found=True)
     records = []
-    for info in sorted(files, key=lambda f: f.path):
+    for info in sorted(system.get_file_info(found), key=lambda f: f.path):
         if info.is_file and info.size and not info.base_name.startswith(("_", ".")):
             with system.open_input_stream(info.path) as stream:
                 text = stream.read().decode("utf-8")
@@ -41,8 +53,33 @@ def _stored_page(url: str, order: str, limit: int, offset: int) -> list[str]:
     return records
 
 
+def _stored_pages(url: str) -> int:
+    """How many pages the folder holds; it must be there, without a gap."""
+    from pyarrow import fs
+
+    system, root = _folder(url)
+    names = [info.base_name for info in system.get_file_info(fs.FileSelector(root))]
+    numbers = {int(n.removeprefix("page=")) for n in names if n.startswith("page=")}
+    if gaps := set(range(len(numbers))) - numbers:
+        raise MissingPage(f"page {min(gaps)} of {url} is missing")
+    return len(numbers)
+
+
+def count_pages(full) -> int:
+    """The number of pages, given whether a page holds anything: doubling, then halving."""
+    low, high = 0, 1
+    while full(high - 1):
+        low, high = high, high * 2
+    while low < high - 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if full(middle - 1) else (low, middle)
+    return low
+
+
 class PageRange(InputPartition):
-    def __init__(self, first: int, last: int):
+    """Pages ``first`` to ``last``, or from ``first`` on to the end of the dataset."""
+
+    def __init__(self, first: int, last: int | None):
         self.first = first
         self.last = last
 
@@ -52,24 +89,48 @@ class PageReader(DataSourceReader):
         self.url = options["url"]
         self.order = options["order"]
         self.size = int(options["page"])
-        self.pages = -(-int(options["rows"]) // self.size)
         self.per_task = int(options.get("pagesPerTask", 50))
+        self.where = json.loads(options.get("where", "{}"))
+        self.served = self.url.startswith("http")
+
+    def fetch(self, page: int) -> list[str]:
+        """All records of a page; a server applies the filter itself."""
+        if self.served:
+            return _http_page(self.url, self.order, self.size, page, self.where)
+        return _stored_page(self.url, page)
+
+    def pages(self) -> int:
+        if self.served:
+            return count_pages(lambda page: bool(self.fetch(page)))
+        return _stored_pages(self.url)
 
     def partitions(self) -> list[PageRange]:
-        return [
-            PageRange(first, min(first + self.per_task, self.pages))
-            for first in range(0, self.pages, self.per_task)
-        ]
+        starts = list(range(0, max(1, self.pages()), self.per_task))
+        return [PageRange(a, b) for a, b in zip(starts, [*starts[1:], None])]
+
+    def wanted(self, record: str) -> bool:
+        if self.served or not self.where:
+            return True
+        fields = json.loads(record)
+        return all(str(fields.get(name)) == value for name, value in self.where.items())
 
     def read(self, partition: PageRange):
-        fetch = _http_page if self.url.startswith("http") else _stored_page
-        for page in range(partition.first, partition.last):
-            for record in fetch(self.url, self.order, self.size, page * self.size):
-                yield (record,)
+        page, short = partition.first, False
+        while partition.last is None or page < partition.last:
+            records = self.fetch(page)
+            if partition.last is None and not records:
+                return
+            if short or (partition.last is not None and len(records) < self.size):
+                raise MissingPage(f"page {page - short} of {self.url} ends before the dataset does")
+            short = len(records) < self.size
+            for record in records:
+                if self.wanted(record):
+                    yield (record,)
+            page += 1
 
 
 class PagedSource(DataSource):
-    """Options: url, order, rows (size of the dataset), page, pagesPerTask."""
+    """Options: url, order, page, pagesPerTask, where (JSON object of column and text)."""
 
     @classmethod
     def name(cls) -> str:
@@ -85,14 +146,17 @@ class PagedSource(DataSource):
 def read_paged(
     spark: SparkSession,
     url: str,
-    rows: int,
     order: str,
     page: int = schemas.PAGE_ROWS,
     pages_per_task: int = 50,
+    where: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Records of a paged dataset of known size, one JSON text per row in ``value``.
+    """All records of a paged dataset, one JSON text per row in ``value``.
 
-    An order is required: without one, pages may repeat or miss records.
+    ``where`` keeps records whose column, as text, equals the given one; a server is asked
+    for these only. An order is required: without one, pages may repeat or miss records. A
+    page that is missing or short before the end raises ``MissingPage``, as does a folder
+    that is not there an error of its file system.
     """
     if not order:
         raise ValueError("pages need an order")
@@ -100,6 +164,7 @@ def read_paged(
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedSource)
     reader = spark.read.format("paged").options(
-        url=url, rows=str(rows), order=order, page=str(page), pagesPerTask=str(pages_per_task)
+        url=url, order=order, page=str(page), pagesPerTask=str(pages_per_task),
+        where=json.dumps(where or {}),
     )
     return reader.load()

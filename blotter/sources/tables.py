@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from blotter.sources.guard import VIEWS, check_query
+
 
 @dataclass(frozen=True)
 class Table:
@@ -20,14 +21,13 @@ class Table:
 def _exists(spark: SparkSession, table: Table) -> bool:
     if table.kind == "catalog":
         return spark.catalog.tableExists(table.name)
-    try:
-        read_table(spark, table)
-    except AnalysisException as error:
-        # Only absence counts as absence; any other failure must surface.
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(table.name)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return False
+    names = [status.getPath().getName() for status in system.listStatus(place)]
+    return any(not name.startswith(("_", ".")) for name in names)
 
 
 def partitioned_jdbc(table: Table, column: str, low, high, partitions: int) -> Table:
@@ -51,8 +51,10 @@ def read_table(spark: SparkSession, table: Table) -> DataFrame:
 
 
 def query_session(spark: SparkSession, tables: dict[str, Table]) -> SparkSession:
-    """A session whose only temporary views are the named tables."""
+    """A session for queries of others: ``read_query`` lets them use the named tables only."""
     scoped = spark.newSession()
+    scoped.conf.set("spark.sql.runSQLOnFiles", "false")
+    scoped.conf.set(VIEWS, ",".join(tables))
     scoped.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     for name, table in tables.items():
         read_table(scoped, table).createOrReplaceTempView(name)
@@ -63,11 +65,16 @@ def read_query(spark: SparkSession, sql: str, database: Table | None = None) ->
     """The result of a query, run by the database if one is given, else by Spark.
 
     As a subquery the text can only be a query: a statement that changes anything, or a
-    second statement, does not parse.
+    second statement, does not parse. In a session of ``query_session`` its analysed plan
+    is checked as well, before anything runs.
     """
     if database is not None:
         return read_table(spark, Table(database.kind, f"({sql}) as result", database.options))
-    return spark.sql(f"select * from ({sql}) as result")
+    result = spark.sql(f"select * from ({sql}) as result")
+    views = spark.conf.get(VIEWS, None)
+    if views is not None:
+        check_query(result, set(views.split(",")))
+    return result
 
 
 def append(df: DataFrame, table: Table) -> None:

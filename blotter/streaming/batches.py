@@ -36,8 +36,11 @@ def run_batches(
     return writer.start()
 
 
-def run_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until all queries have ended; when one fails, stop the rest and raise.
+def run_all(
+    queries: list[StreamingQuery], timeout: float | None = None, until: str = "all"
+) -> None:
+    """Wait until all queries have ended, or with ``until="any"`` until the first one has;
+    when one fails, stop the rest and raise.
 
     Without a timeout this runs as long as the streams do.
     """
@@ -46,11 +49,13 @@ def run_all(queries: list[StreamingQuery], timeout: float | None = None) -> None
         while running := [query for query in queries if query.isActive]:
             for query in running:
                 query.awaitTermination(POLL)
+            if until == "any" and not all(query.isActive for query in queries):
+                break
             if deadline is not None and time.monotonic() > deadline:
                 raise TimeoutError(f"streams still active after {timeout} s")
         for query in queries:
-            # Raises what ended the query, if anything did.
-            query.awaitTermination(POLL)
+            if not query.isActive:
+                query.awaitTermination()  # raises what ended the query, if anything did
     finally:
         for query in queries:
             query.stop()

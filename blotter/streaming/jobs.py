@@ -97,7 +97,10 @@ def ack_stream(
 def token_stream(
     lines: DataFrame, sink: Table, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Token counts of each micro-batch, written with the batch number."""
+    """Token counts of each micro-batch, written with the batch number to a Parquet folder."""
+    if sink.kind != "parquet":
+        raise ValueError(f"token counts go to a Parquet folder, not to a {sink.kind} table")
+
     def step(batch: DataFrame, number: int) -> None:
         # Named by batch and overwritten, so a replay cannot count twice.
         counts = token_counts(batch).withColumn("batch", F.lit(number).cast("bigint"))

@@ -87,3 +87,20 @@ def test_draws_differ_and_repeat():
     drawn = model.draw_params(model.FOREST_GRID)
     assert len(drawn) == 12 == len({str(d) for d in drawn})
     assert drawn == model.draw_params(model.FOREST_GRID)
+
+
+def test_a_model_may_be_saved_where_it_was_loaded(spark, fitted, rows, tmp_path):
+    path = str(tmp_path / "kept")
+    model.save_model(fitted[0], path)
+    loaded = model.load_model(spark, path)
+    model.save_model(loaded, path)
+    again = model.load_model(spark, path)
+    assert model.score_batch(again, rows).count() == model.score_batch(loaded, rows).count() == 598
+
+
+def test_rejected_requests_have_a_reason(rows):
+    accepted, rejected = model.split_scorable(rows.drop("addr_pct_cd").withColumn("addr_pct_cd", F.lit("7")))
+    assert accepted.count() == 598
+    assert {(r.cmplnt_num, r.reason) for r in rejected.collect()} == {
+        ("5", "bad cmplnt_fr_dt"), ("7", "bad cmplnt_fr_tm"),
+    }

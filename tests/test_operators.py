@@ -279,3 +279,20 @@ def test_not_null_constraints_of_forecasts(spark, tmp_path):
         with pytest.raises(PySparkException):
             write_forecasts(spark.createDataFrame([row], schemas.FORECASTS), table)
     assert spark.read.parquet(table.name).count() == 1
+
+
+def test_search_takes_backslashes_as_they_are(spark):
+    rows = [("a\\bcd",), ("abcd",), ("tail\\",), ("tail%",)]
+    names = schemas.SEARCH_COLUMNS
+    data = spark.createDataFrame([tuple(v[0].upper() for _ in names) for v in rows], ", ".join(f"{c} string" for c in names))
+    assert filters.search(data, names[0], "a\\bcd").count() == 1
+    assert filters.search(data, names[0], "tail\\").count() == 1
+
+
+def test_deep_pages_are_sorted(spark, monkeypatch):
+    from blotter.operators import ordering
+
+    monkeypatch.setattr(ordering, "SINGLE_TASK_ROWS", 100)
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("n")).repartition(6)
+    page = ordering.page_slice(rows, 300, 2500, ["n"])
+    assert [r.n for r in page.collect()] == list(range(2500, 2800))

@@ -16,7 +16,7 @@ def _param(name):
     return pytest.param(name, marks=pytest.mark.slow if slow else ())
 
 
-@pytest.mark.parametrize("name", map(_param, QUERIES))
+@pytest.mark.parametrize("name", [_param(name) for name in QUERIES])
 def test_query(spark, name):
     assert compare(spark, SF, QUERIES[name], __spark_entry__.oracle_sql().get(name)) == ""
 

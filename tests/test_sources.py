@@ -14,7 +14,9 @@ from blotter.plans.requests import run_request, serve_requests
 from blotter.sources.messages import (
     Topic, console_sink, kafka_options, line_source, publish, publish_rows, published_source,
 )
-from blotter.sources.paged import PageReader, read_paged
+from blotter.sources import paged
+from blotter.sources.guard import ForbiddenQuery
+from blotter.sources.paged import MissingPage, PageReader, count_pages, read_paged
 from blotter.sources.tables import (
     Table, append, ensure_table, partitioned_jdbc, query_session, read_query, read_table,
 )
@@ -41,8 +43,9 @@ def test_failure_to_read_is_not_absence(spark, tmp_path):
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "part-0.parquet").write_bytes(b"no parquet at all")
     table = Table("parquet", str(tmp_path / "t"))
+    ensure_table(spark, table, schemas.ACKS)
     with pytest.raises((PySparkException, Py4JJavaError)):
-        ensure_table(spark, table, schemas.ACKS)
+        read_table(spark, table).collect()
     assert (tmp_path / "t" / "part-0.parquet").read_bytes() == b"no parquet at all"
 
 
@@ -107,14 +110,90 @@ def test_pages_cover_the_dataset_once(spark, tmp_path):
         F.floor(F.col("id") / 1000).alias("page"), F.to_json(F.struct("id")).alias("value")
     )
     rows.repartition(5).write.partitionBy("page").text(str(tmp_path / "pages"))
-    pulled = read_paged(spark, f"file://{tmp_path}/pages", 2500, "id", pages_per_task=1)
+    pulled = read_paged(spark, f"file://{tmp_path}/pages", "id", pages_per_task=1)
     assert pulled.rdd.getNumPartitions() == 3
     ids = pulled.select(F.get_json_object("value", "$.id").cast("int").alias("id"))
     assert sorted(r.id for r in ids.collect()) == list(range(2500))
     with pytest.raises(ValueError):
-        read_paged(spark, "file:///x", 1, "")
+        read_paged(spark, "file:///x", "")
+
+
+def served(pages: list[int], monkeypatch, **options: str) -> PageReader:
+    """A reader of a server whose pages hold so many records."""
+    def page(url, order, limit, number, where):
+        return [f'{{"p": {number}}}'] * (pages[number] if number < len(pages) else 0)
+
+    monkeypatch.setattr(paged, "_http_page", page)
+    return PageReader({"url": "http://x", "order": "id", "page": "10", "pagesPerTask": "2", **options})
+
+
+def pulled_from(reader: PageReader) -> int:
+    return sum(1 for part in reader.partitions() for _ in reader.read(part))
+
+
+@pytest.mark.parametrize("last", [0, 1, 9, 10])
+@pytest.mark.parametrize("full", [0, 1, 2, 3, 7, 8, 9])
+def test_pages_are_read_to_the_end(monkeypatch, full, last):
+    assert pulled_from(served([10] * full + [last], monkeypatch)) == 10 * full + last
+
+
+def test_records_that_come_late_are_read(monkeypatch):
+    pages = [10, 10, 10]
+    reader = served(pages, monkeypatch)
+    parts = reader.partitions()
+    pages += [10, 4]
+    assert sum(1 for part in parts for _ in reader.read(part)) == 44
+
 
+def test_short_pages_before_the_end_raise(monkeypatch):
+    for pages in ([10, 3, 10, 10], [10, 10, 10, 3, 5]):
+        with pytest.raises(MissingPage):
+            pulled_from(served(pages, monkeypatch))
 
-def test_page_ranges():
-    reader = PageReader({"url": "file:///x", "order": "id", "page": "1000", "rows": "100001", "pagesPerTask": "50"})
-    assert [(p.first, p.last) for p in reader.partitions()] == [(0, 50), (50, 100), (100, 101)]
+
+def test_count_pages():
+    for n in range(40):
+        assert count_pages(lambda page: page < n) == n
+
+
+def test_missing_folders_and_pages_raise(spark, tmp_path):
+    rows = spark.range(3000).select(
+        F.floor(F.col("id") / 1000).alias("page"), F.to_json(F.struct("id")).alias("value")
+    )
+    rows.where("page != 1").write.partitionBy("page").text(str(tmp_path / "gap"))
+    with pytest.raises(Exception, match="is missing"):
+        read_paged(spark, f"file://{tmp_path}/gap", "id").count()
+    with pytest.raises(Exception, match="nowhere"):
+        read_paged(spark, f"file://{tmp_path}/nowhere", "id").count()
+
+
+def test_stored_pages_are_filtered(spark, tmp_path):
+    rows = spark.range(2500).select(
+        F.floor(F.col("id") / 1000).alias("page"),
+        F.to_json(F.struct("id", (F.col("id") % 3).alias("kind"))).alias("value"),
+    )
+    rows.repartition(5).write.partitionBy("page").text(str(tmp_path / "pages"))
+    assert read_paged(spark, f"file://{tmp_path}/pages", "id", where={"kind": "1"}).count() == 833
+
+
+def test_queries_reach_named_tables_only(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "mine"))
+    spark.range(5).createOrReplaceGlobalTempView("not_offered")
+    session = query_session(spark, {"mine": Table("parquet", str(tmp_path / "mine"))})
+    good = [
+        "select count(*) as n from mine", "with a as (select id from mine) select * from a join a b using (id)",
+        "select * from range(3)", "select * from values (1), (2)", "select 1 as x where exists (select * from mine)",
+    ]
+    for sql in good:
+        read_query(session, sql).collect()
+    bad = [
+        f"select * from parquet.`{tmp_path}/mine`", "select * from global_temp.not_offered",
+        "select java_method('java.lang.System', 'setProperty', 'blotter.probe', 'x') from mine",
+        "select 1 where exists (select reflect('java.lang.System', 'getProperty', 'user.home'))",
+        "select try_reflect('java.lang.System', 'getProperty', 'user.home') as x",
+        "select * from mine; select 1", "drop table mine",
+    ]
+    for sql in bad:
+        with pytest.raises((ForbiddenQuery, PySparkException)):
+            read_query(session, sql)
+    assert spark._jvm.System.getProperty("blotter.probe") is None

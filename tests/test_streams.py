@@ -185,3 +185,29 @@ def test_one_failing_stream_stops_the_rest(spark, place):
     with pytest.raises(Exception, match="no good"):
         run_all([idle, broken], 120)
     assert not idle.isActive
+
+
+def test_replayed_batches_add_no_rejects(spark, place):
+    from blotter.plans.ingest import ingest_into
+
+    rows = [(0, 0, b"{bad"), (0, 1, f"[{record('b')}, 5, 6]".encode()), (1, 0, b"{bad")]
+    batch = spark.createDataFrame(rows, MESSAGE)
+    for _ in range(2):
+        ingest_into(batch, schemas.INCIDENTS, "cmplnt_num", place.target, place.rejected)
+        assert read_table(spark, place.rejected).count() == 4
+
+
+def test_supervisor_may_wait_for_any_stream(spark, place, tmp_path):
+    send(spark, place.topic, 0, 0, [record("a")])
+    source = message_source(spark, place.topic)
+    endless = run_batches(source, lambda *_: None, str(tmp_path / "one"), {"processingTime": "1 second"})
+    ending = run_batches(source, lambda *_: None, str(tmp_path / "two"), ONCE)
+    run_all([endless, ending], 120, until="any")
+    assert not endless.isActive and not ending.isActive
+
+
+def test_token_counts_refuse_other_sinks(spark, place, tmp_path):
+    send(spark, place.topic, 0, 0, ["a b"])
+    lines = message_source(spark, place.topic)
+    with pytest.raises(ValueError, match="Parquet"):
+        jobs.token_stream(lines, Table("catalog", "tok"), str(tmp_path / "x"))
