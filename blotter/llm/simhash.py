@@ -211,7 +211,8 @@ def within_radius(queries: DataFrame, stored: DataFrame, radius: int = RADIUS) -
         first = F.when(F.col("_t") == number, none).otherwise(first)
     left, right = keyed(queries, "_query"), keyed(stored, "_found")
     return (
-        left.join(right, ["_t", "_k"])
+        # Both grow with the corpus, and estimates before the tables unfold are far too low.
+        left.hint("merge").join(right, ["_t", "_k"])
         .where((F.bit_count(differ) <= radius) & first)
         .select("_query", "_found", F.bit_count(differ).alias("_distance"))
     )
