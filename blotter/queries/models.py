@@ -20,8 +20,8 @@ from blotter.sources.tables import Table, append, read_table
 from blotter.streaming import jobs
 from blotter.streaming.batches import ONCE, run_all
 
-# Small forests: the events carry no signal a larger one could find.
-SMALL = {"numTrees": 8, "maxDepth": 4}
+# Boosted models of the queries: a fifth of the library's rounds, one model for each label.
+BOOSTED = {"maxIter": 20}
 GRID = {
     "numTrees": [3, 5],
     "maxDepth": [2, 3],
@@ -29,11 +29,22 @@ GRID = {
     "featureSubsetStrategy": ["sqrt", "0.6"],
 }
 ORDER = ["rpt_dt", "cmplnt_num"]
+HELD_SQL = (
+    with_sql(INCIDENTS_SQL, TOP_SQL)
+    + """, held AS (
+  SELECT ofns_desc AS label, cast(ceil(count(*) * cast(0.2 AS double)) AS bigint) AS support
+  FROM incidents SEMI JOIN top USING (ofns_desc) GROUP BY ofns_desc
+), report AS (
+  SELECT label, support FROM held
+  UNION ALL SELECT name, cast(sum(support) AS bigint)
+  FROM held, (VALUES ('macro avg'), ('weighted avg')) t(name) GROUP BY name
+) """
+)
 
 
 def _fitted(spark: SparkSession, sf_dir: str, kind: str = "forest", **params) -> tuple[model.Classifier, DataFrame]:
     rows, vocabularies = model.prepare(incidents(spark, sf_dir), ORDER, TOP)
-    fitted = model.train(rows.where(~F.col("is_test")), kind, **(params or SMALL))
+    fitted = model.train(rows.where(~F.col("is_test")), kind, **params)
     return model.Classifier(fitted, vocabularies), rows
 
 
@@ -53,38 +64,44 @@ def _sound(classifier: model.Classifier, scored: DataFrame, *keep: str) -> DataF
     )
 
 
-@query()
+def _judged(report: DataFrame) -> DataFrame:
+    """Per line of a report the rows judged, and whether its scores can be."""
+    sound = reduce(and_, (F.col(c).between(0, 1) for c in ("precision", "recall", "f1")))
+    return report.select("label", "support", sound.alias("sound"))
+
+
+@query(HELD_SQL + "SELECT label, support, true AS sound FROM report")
 def train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report of a forest on the rows held out."""
     classifier, rows = _fitted(spark, sf_dir)
-    _, report = model.evaluate(classifier, rows.where("is_test"))
-    return report
+    return _judged(model.evaluate(classifier, rows.where("is_test"))[1])
 
 
-@query()
+@query(HELD_SQL + "SELECT label, support, true AS sound FROM report")
 def train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report of boosted trees, one model per label, on the rows held out."""
-    classifier, rows = _fitted(spark, sf_dir, "boosted", maxIter=3, maxDepth=3)
-    _, report = model.evaluate(classifier, rows.where("is_test"))
-    return report
+    classifier, rows = _fitted(spark, sf_dir, "boosted", **BOOSTED)
+    return _judged(model.evaluate(classifier, rows.where("is_test"))[1])
 
 
-@query()
+@query("SELECT 'draw ' || i AS draw, true AS fresh, true AS sound FROM range(0, 12) t(i)")
 def param_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accuracy over three folds of twelve drawn settings."""
+    """Twelve draws: whether each is unlike those before it, and its accuracy can be."""
     rows, _ = model.prepare(incidents(spark, sf_dir), ORDER, TOP)
     _, tried = model.search_params(rows.where(~F.col("is_test")), grid=GRID)
-    lines = [(str(sorted(draw.items())), float(score)) for draw, score in tried]
-    return spark.createDataFrame(lines, "params string, accuracy double")
+    lines = [
+        (f"draw {i}", draw not in [d for d, _ in tried[:i]], 0.0 < float(score) <= 1.0)
+        for i, (draw, score) in enumerate(tried)
+    ]
+    return spark.createDataFrame(lines, "draw string, fresh boolean, sound boolean")
 
 
-@query()
+@query("SELECT cast(event_id AS varchar) AS cmplnt_num, true AS percent_sound FROM events")
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     classifier, _ = _fitted(spark, sf_dir)
     scored = model.score_batch(classifier, _requests(spark, sf_dir))
-    return scored.select(
-        "cmplnt_num", "prediction", "probability", model.percent().alias("percent")
-    )
+    shown = model.percent().between(0, 100) & (model.percent() == F.col("probability") * 100)
+    return scored.select("cmplnt_num", shown.alias("percent_sound"))
 
 
 @query("SELECT cast(event_id AS varchar) AS cmplnt_num, true AS label_known, true AS probability_sound FROM events")
@@ -119,7 +136,7 @@ def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT cast(event_id AS varchar) AS cmplnt_num, true AS label_known, true AS probability_sound FROM events")
 def score_boosted_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classifier, _ = _fitted(spark, sf_dir, "boosted", maxIter=3, maxDepth=3)
+    classifier, _ = _fitted(spark, sf_dir, "boosted", **BOOSTED)
     return _sound(classifier, model.score_batch(classifier, _requests(spark, sf_dir)), "cmplnt_num")
 
 
@@ -139,10 +156,19 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.join(after, "cmplnt_num").select("cmplnt_num", same.alias("same"))
 
 
-@query()
+@query(
+    with_sql(INCIDENTS_SQL, POSITIONS_SQL, CENTROIDS_SQL)
+    + """, grid AS (
+  SELECT cast(addr_pct_cd AS varchar) AS pct, boro_nm, '2024-02-01' AS day,
+    strftime(TIMESTAMP '2000-01-01' + to_minutes(cast(i AS integer)), '%H:%M:%S') AS slot
+  FROM centroids CROSS JOIN range(0, 1440, 10) t(i)
+)
+SELECT sha256(pct || '|' || boro_nm || '|' || day || '|' || slot) AS id, pct AS addr_pct_cd, slot AS prediction_time
+FROM grid"""
+)
 def daily_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forecast of one day, stored once although asked for twice."""
-    return _forecast(spark, sf_dir)[1]
+    return _forecast(spark, sf_dir)[1].select("id", "addr_pct_cd", "prediction_time")
 
 
 def _forecast(spark: SparkSession, sf_dir: str) -> tuple[model.Classifier, DataFrame]:
@@ -166,23 +192,13 @@ def daily_forecast_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sound(classifier, rows, "addr_pct_cd", "boro_nm", "prediction_date", "prediction_time")
 
 
-@query(
-    with_sql(INCIDENTS_SQL, TOP_SQL)
-    + """, held AS (
-  SELECT ofns_desc AS label, cast(ceil(count(*) * cast(0.2 AS double)) AS bigint) AS support
-  FROM incidents SEMI JOIN top USING (ofns_desc) GROUP BY ofns_desc
-)
-SELECT label, support, true AS sound FROM held
-UNION ALL SELECT name, cast(sum(support) AS bigint), true FROM held, (VALUES ('macro avg'), ('weighted avg')) t(name)
-GROUP BY name"""
-)
+@query(HELD_SQL + "SELECT label, support, true AS sound FROM report")
 def train_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, split, search, evaluate and save; the rows judged and whether the scores can be."""
     _, _, report = model.train_all(
         incidents(spark, sf_dir), ORDER, scratch(spark, "model"), TOP, draws=3, grid=GRID
     )
-    sound = reduce(and_, (F.col(c).between(0, 1) for c in ("precision", "recall", "f1")))
-    return report.select("label", "support", sound.alias("sound"))
+    return _judged(report)
 
 
 @query(
@@ -195,7 +211,7 @@ def refit_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     training, fits = Table("parquet", scratch(spark, "training")), Table("parquet", scratch(spark, "fits"))
     running = jobs.refit_stream(
         message_stream(spark, sf_dir), training, fits, classifier.vocabularies,
-        scratch(spark, "model"), scratch(spark, "state"), every=50, trigger=ONCE, **SMALL,
+        scratch(spark, "model"), scratch(spark, "state"), every=50, trigger=ONCE,
     )
     run_all([running], 600)
     return read_table(spark, fits)
