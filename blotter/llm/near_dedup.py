@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,7 +18,8 @@ from blotter.session import materialise
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
-FIRST_BLOCK, GROWTH = 16, 8
+#: Nodes that are compared in one task; larger groups are cut into blocks of so many.
+BLOCK = 512
 RUN_BYTES = 1 << 16
 _KEY = np.uint64(0xFFFFFFFFFFFF0000)
 
@@ -192,86 +194,133 @@ def _sign(size: int, documents: int, bands: int, rows: int):
 
 
 def _vectors(size: int, documents: int):
-    """Rows (a, b, hashes, weights) for what is asked of a chunk: (pos, a, bs, held)."""
+    """A row for each text and group that is asked of a chunk: its bands and its vector."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             asked = row["asked"]
             texts = as_bytes(unpack(row["data"])["text"].take(pa.array([x["pos"] for x in asked])))
             out: list[tuple] = []
+            weight = 0
             for low, _, _, hashes, times, owner in shingle_sets(texts, size):
                 for i in np.unique(owner):
                     a, b = np.searchsorted(owner, [i, i + 1])
                     want = asked[low + i]
                     weights = idf_weights(times[a:b], expand(want["held"]), documents)
-                    own = hashes[a:b].tobytes(), weights.tobytes()
-                    out += [(want["a"], b_, *own) for b_ in want["bs"]]
-                    if sum(len(x[2]) for x in out) > 16 * RUN_BYTES:
+                    bands = np.array(want["bands"], np.int64).tobytes()
+                    own = want["node"], bands, hashes[a:b].tobytes(), weights.tobytes()
+                    out += [(g["name"], g["side"], g["band"], *own) for g in want["groups"]]
+                    weight += 12 * (b - a) * len(want["groups"])
+                    if weight > 32 * RUN_BYTES:
                         yield _as_batch(out)
-                        out = []
+                        out, weight = [], 0
             yield _as_batch(out)
 
     return vectors
 
 
+_VECTORS = (
+    "name binary, side int, band int, node binary, bands binary, hashes binary, weights binary"
+)
+
+
 def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [[]] * 4
+    columns = list(zip(*rows)) or [[]] * 7
+    kinds = [pa.binary(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.binary()) for c in columns], names=["a", "b", "hashes", "weights"]
+        [pa.array(c, k) for c, k in zip(columns, kinds)],
+        names=["name", "side", "band", "node", "bands", "hashes", "weights"],
     )
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        similar = []
-        for i in range(batch.num_rows):
-            a, b, c, d = (
-                np.frombuffer(batch[name][i].as_buffer(), kind)
-                for name, kind in (
-                    ("hashes", np.uint64), ("weights", np.float32),
-                    ("hashes2", np.uint64), ("weights2", np.float32),
-                )
-            )
-            similar.append(weighted_jaccard((a, b), (c, d)))
-        yield pa.RecordBatch.from_arrays(
-            [batch["a"], batch["b"], pa.array(similar, pa.float64())], names=["a", "b", "similarity"]
-        )
-
-
-class _Verifier:
-    """Weighted Jaccard similarity of pairs of texts, from the texts."""
-
-    def __init__(self, chunks: DataFrame, texts: DataFrame, size: int, documents: int):
-        self.chunks = chunks.select("chunk", "data")
-        self.texts = texts.select("node", "chunk", "pos", "held")
-        self.vectors = _vectors(size, documents)
+def _link(least: float):
+    """Links that join the nodes of a group: pairs with an equal band and the similarity.
 
-    def _of(self, wanted: DataFrame) -> DataFrame:
-        """Vectors for ``wanted`` (a, b), one row for each, keyed by b."""
-        asked = (
-            wanted.groupBy("a").agg(F.collect_set("b").alias("bs"))
-            .join(self.texts, F.col("a") == F.col("node"))
-            .groupBy("chunk")
-            .agg(
-                F.sum(F.octet_length("held") + 64 + 32 * F.size("bs")).alias("bytes"),
-                F.collect_list(F.struct("pos", "a", "bs", "held")).alias("asked"),
-            )
-        )
-        return (
-            attach(self.chunks, materialise(asked))
-            .select("asked", "data")
-            .mapInArrow(self.vectors, "a binary, b binary, hashes binary, weights binary")
-        )
+    A pair that is joined already, by other links, is not compared again, and one that
+    meets in several buckets is compared in the first of them. Each node is compared with
+    all its open partners at once.
+    """
 
-    def links(self, pairs: DataFrame, least: float) -> DataFrame:
-        """The ``pairs`` (a, b) of at least this similarity."""
-        hubs = pairs.select(F.col("b").alias("a"), "b").distinct()
-        right = self._of(hubs).select(
-            F.col("b").alias("hub"), F.col("hashes").alias("hashes2"), F.col("weights").alias("weights2")
-        )
-        both = self._of(pairs).join(right, F.col("b") == F.col("hub")).drop("hub")
-        found = both.mapInArrow(_compare, "a binary, b binary, similarity double")
-        return materialise(found.where(F.col("similarity") >= least))
+    def link(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["side", "node"]).reset_index(drop=True)
+        n, side = len(frame), frame["side"].to_numpy()
+        bands = np.stack([np.frombuffer(x, np.int64) for x in frame["bands"]])
+        vectors = [
+            (np.frombuffer(h, np.uint64), np.frombuffer(w, np.float32))
+            for h, w in zip(frame["hashes"], frame["weights"])
+        ]
+        sizes = np.array([len(h) for h, _ in vectors])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        weights = np.concatenate([w for _, w in vectors])
+        elements, code = np.unique(np.concatenate([h for h, _ in vectors]), return_inverse=True)
+        sums = np.add.reduceat(weights, starts[:-1], dtype=np.float64)
+        mine = np.zeros(len(elements), np.float32)
+        band, crossed = int(frame["band"].iloc[0]), side[0] != side[-1]
+        root = np.arange(n)
+        found = []
+        for a in range(n - 1):
+            equal = bands[a] == bands[a + 1 :]
+            if band < 0:
+                open_ = equal.any(axis=1)
+            else:
+                open_ = equal[:, band] & ~equal[:, :band].any(axis=1)
+            if crossed:
+                open_ &= side[a + 1 :] != side[a]
+            low, high = np.minimum(sums[a], sums[a + 1 :]), np.maximum(sums[a], sums[a + 1 :])
+            open_ &= (root[a + 1 :] != root[a]) & (low >= least * high)
+            partners = np.flatnonzero(open_) + a + 1
+            if not len(partners):
+                continue
+            if len(partners) < n // 8:
+                alike = np.array([weighted_jaccard(vectors[a], vectors[b]) for b in partners])
+            else:
+                own = code[starts[a] : starts[a + 1]]
+                mine[own] = vectors[a][1]
+                shared = np.add.reduceat(np.minimum(mine[code], weights), starts[:-1], dtype=np.float64)
+                mine[own] = 0
+                alike = (shared / (sums[a] + sums - shared))[partners]
+            for b, similarity in zip(partners, alike):
+                if similarity >= least and root[a] != root[b]:
+                    root[root == root[b]] = root[a]
+                    found.append((frame["node"][a], frame["node"][b], float(similarity)))
+        return pd.DataFrame(found, columns=["a", "b", "similarity"])
+
+    return link
+
+
+def _groups(entries: DataFrame, block: int) -> DataFrame:
+    """The groups in which nodes are compared: rows (node, name, side, band).
+
+    ``entries`` are the bands of all nodes, (node, k, band). Nodes that are connected by
+    equal bands are one group, if there are at most ``block`` of them. Larger ones are
+    compared bucket by bucket, and a bucket of more than ``block`` nodes in pairs of
+    blocks, so that every pair with an equal band meets in some group.
+    """
+    hubs = (
+        entries.groupBy("k", "band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
+        .where("size > 1")
+    )
+    buckets = materialise(entries.join(hubs, ["k", "band"]))
+    labels = components(buckets.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    named = materialise(labels.join(sizes, "label"))
+    whole = named.where(F.col("n") <= block).select(
+        "node", F.concat(F.lit(b"w"), F.col("label")).alias("name"),
+        F.lit(0).alias("side"), F.lit(-1).alias("band"),
+    )
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    parted = (
+        buckets.join(named.where(F.col("n") > block).select("node"), "node")
+        .withColumn("_blocks", blocks)
+        .withColumn("side", F.pmod(F.xxhash64("band", "node"), F.col("_blocks")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    )
+    name = F.concat_ws(
+        ":", F.lit("b"), "k", "band", F.least("side", "_other"), F.greatest("side", "_other")
+    )
+    return whole.unionByName(
+        parted.select("node", name.cast("binary").alias("name"), "side", F.col("k").alias("band"))
+    )
 
 
 def near_duplicates(
@@ -280,18 +329,18 @@ def near_duplicates(
     shingle: int = SHINGLE,
     bands: int = BANDS,
     rows: int = ROWS,
+    block: int = BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
     """Classes of ``docs`` (doc_id, text, and any others), and the packed documents.
 
     Texts with the same words in the same order are one node, however many copies there
     are. Shingles of ``shingle`` words weigh their times in the text by how rare they are
     among all documents, exactly counted. ``bands`` times ``rows`` weighted samples of a
-    node make candidates: nodes with an equal band. In each such bucket every node is
-    checked against the smallest one, on the exact weighted Jaccard similarity. Buckets
-    whose nodes are not one component then are gone through in blocks of growing size:
-    nodes outside the bucket's first component against the others that they are not yet
-    joined to, until every such pair has been checked or joined. So no candidate link
-    between different texts is lost, and no bucket is paired off as a whole.
+    node make candidates: nodes with an equal band. Nodes that candidates connect meet in
+    one task, or bucket by bucket in pairs of blocks where they are more than ``block``;
+    there every two nodes with an equal band that other links do not join yet are compared
+    on the exact weighted Jaccard similarity. So no candidate link between different
+    texts is lost, no pairs are written out, and a text travels once for each group.
 
     The first frame has a row for each document: chunk, pos (its place in the second), doc_id,
     class_id (smallest doc_id of its component), class_size, copies (documents with the
@@ -315,45 +364,25 @@ def near_duplicates(
         .agg(F.min(F.struct("chunk", "pos", "bands", "held")).alias("_t"))
         .select("node", "_t.*")
     )
-    entries = texts.select("node", F.explode("bands").alias("band"))
-    hubs = (
-        entries.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
-        .where("size > 1")
+    entries = texts.select("node", F.posexplode("bands").alias("k", "band"))
+    asked = materialise(
+        _groups(entries, block)
+        .groupBy("node").agg(F.collect_list(F.struct("name", "side", "band")).alias("groups"))
+        .join(texts, "node")
+        .groupBy("chunk")
+        .agg(
+            F.sum(F.octet_length("held") + 256 + 64 * F.size("groups")).alias("bytes"),
+            F.collect_list(F.struct("pos", "node", "bands", "groups", "held")).alias("asked"),
+        )
     )
-    buckets = materialise(entries.join(hubs, "band"))
-    verifier = _Verifier(chunks, texts, shingle, documents)
-    pairs = materialise(
-        buckets.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    links = (
+        attach(chunks.select("chunk", "data"), asked)
+        .select("asked", "data")
+        .mapInArrow(_vectors(shingle, documents), _VECTORS)
+        .groupBy("name")
+        .applyInPandas(_link(similarity), "a binary, b binary, similarity double")
     )
-    links = verifier.links(pairs, similarity)
-    labels = components(links)
-    block = FIRST_BLOCK
-    done = 0
-    while True:
-        named = buckets.join(labels, "node", "left").select(
-            "band", "node", "size", F.coalesce("label", "node").alias("label")
-        )
-        mixed = named.groupBy("band").agg(
-            F.min("label").alias("main"), F.max("label").alias("other")
-        ).where("main != other")
-        members = materialise(named.join(mixed.select("band", "main"), "band"))
-        most = members.agg(F.max("size")).first()[0]
-        if most is None or done >= most:
-            break
-        # Nodes get a place in 0..size-1 of their bucket by hash; a block is a range of it.
-        place = F.pmod(F.xxhash64("band", "node"), F.col("size"))
-        left = members.where("label != main").select(
-            "band", F.col("node").alias("a"), F.col("label").alias("label_a")
-        )
-        right = members.where((place >= done) & (place < block)).select(
-            "band", F.col("node").alias("b"), F.col("label").alias("label_b")
-        )
-        pairs = materialise(left.join(right, "band").where("label_a != label_b").select("a", "b").distinct())
-        fresh = verifier.links(pairs, similarity)
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            labels = components(links)
-        done, block = block, block * GROWTH
+    labels = components(materialise(links))
     nodes = marks.groupBy("node").agg(
         F.min(first).alias("_first"), F.count(F.lit(1)).alias("copies")
     )

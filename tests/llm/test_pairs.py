@@ -31,16 +31,18 @@ def family(prose):
     return rows + [(900 + i, prose(500 + i, 40) + " " + plate) for i in range(20)]
 
 
-def test_near_duplicates_equal_brute_force(make, family):
-    found, _ = near_dedup.near_duplicates(make(family))
+@pytest.mark.parametrize("block", [512, 3])
+def test_near_duplicates_equal_brute_force(make, family, block):
+    found, _ = near_dedup.near_duplicates(make(family), block=block)
     rows = found.collect()
     assert {r["doc_id"]: r["class_id"] for r in rows} == classes(family)
     assert sum(r["keeper"] for r in rows) == len({r["class_id"] for r in rows})
 
 
-def test_links_that_miss_the_hub_are_found(make, prose, monkeypatch):
+@pytest.mark.parametrize("block", [512, 4])
+def test_links_in_any_number_of_blocks(make, prose, monkeypatch, block):
     """A chain of texts, each like the next, whose ends are unlike: one band for all of
-    them, so that only the blocks after the hub can join the chain."""
+    them, so only comparing all that are not joined yet can join the chain."""
     long = prose(3, 300).split()
     chain = [(i, " ".join(long[10 * i : 10 * i + 150])) for i in range(9)]
     plain = near_dedup.Sampler.bands_of
@@ -51,9 +53,7 @@ def test_links_that_miss_the_hub_are_found(make, prose, monkeypatch):
         return which, bands
 
     monkeypatch.setattr(near_dedup.Sampler, "bands_of", one_band)
-    monkeypatch.setattr(near_dedup, "FIRST_BLOCK", 2)
-    monkeypatch.setattr(near_dedup, "GROWTH", 2)
-    found = near_dedup.near_duplicates(make(chain), similarity=0.7)[0].collect()
+    found = near_dedup.near_duplicates(make(chain), similarity=0.7, block=block)[0].collect()
     wanted = classes(chain, 0.7)
     assert len(set(wanted.values())) == 1
     assert {r["doc_id"]: r["class_id"] for r in found} == wanted
