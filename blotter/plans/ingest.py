@@ -45,7 +45,8 @@ def ingest_into(
     target: Table,
     reject_table: Table | None = None,
 ) -> dict[str, int]:
-    """Ingest one batch into its table; counts of keys and of inserted rows.
+    """Ingest one batch into its table; usable records received, their keys, how many of
+    these were stored already and how many rows were inserted.
 
     The batch is parsed once, whether or not its rejects are kept. A batch that comes again
     adds neither rows nor rejects.
@@ -59,11 +60,14 @@ def ingest_into(
         ensure_table(spark, reject_table, refused.schema)
         known = read_table(spark, reject_table).select(*ARRIVAL)
         append(refused.join(known, ARRIVAL, "left_anti").select(refused.columns), reject_table)
-    records = materialise(unique_records(flat, schema, key))
+    came = Observation()
+    usable = valid_records(flat).observe(came, F.count(F.lit(1)).alias("received"))
+    records = materialise(project(keep_last(usable, key, ARRIVAL), schema.names))
     fresh = insert_if_absent(records, read_table(spark, target), key)
     seen = Observation()
     append(fresh.observe(seen, F.count(F.lit(1)).alias("inserted")), target)
-    return {"keys": records.count(), **seen.get}
+    keys, inserted = records.count(), seen.get["inserted"]
+    return {**came.get, "keys": keys, "existing": keys - inserted, "inserted": inserted}
 
 
 def acknowledge_into(messages: DataFrame, acks: Table) -> None:

@@ -25,6 +25,7 @@ from blotter.operators.labels import keep_labels, known_label, top_k_labels
 from blotter.operators.metrics import accuracy, classification_report
 from blotter.operators.sampling import stratified_split
 from blotter.session import materialise
+from blotter.sources.tables import Table, exists
 
 # Search space; the names are those of the forest's parameters.
 FOREST_GRID = {
@@ -256,7 +257,8 @@ def prepare(
     incidents: DataFrame, order: list[str], k: int = schemas.TOP_LABELS
 ) -> tuple[DataFrame, Vocabularies]:
     """Training rows with ``is_test``, and the vocabularies of the kept labels."""
-    cleaned = materialise(clean(keep_first(incidents, schemas.INCIDENT_KEY, order)))
+    used = dict.fromkeys([schemas.INCIDENT_KEY, *order, *schemas.TRAINING_FIELDS])
+    cleaned = materialise(clean(keep_first(incidents.select(*used), schemas.INCIDENT_KEY, order)))
     kept = keep_labels(cleaned, materialise(top_k_labels(cleaned, k)))
     vocabularies = fit_vocabularies(kept)
     rows = materialise(training_rows(kept, vocabularies))
@@ -271,11 +273,19 @@ def train_all(
     draws: int = 12,
     folds: int = 3,
     grid: dict[str, list] = FOREST_GRID,
+    keep: bool = False,
 ) -> tuple[Classifier, DataFrame, DataFrame]:
-    """Clean, split, search, evaluate and save; the classifier, its accuracy and report."""
+    """Clean, split, search, evaluate and save; the classifier, its accuracy and report.
+
+    With ``keep`` a model that is stored below ``path`` is not trained again, only judged.
+    """
     rows, vocabularies = prepare(incidents, order, k)
-    best, _ = search_params(rows.where(~F.col("is_test")), draws, folds, grid)
-    classifier = Classifier(best, vocabularies)
-    save_model(classifier, path)
+    spark = incidents.sparkSession
+    if keep and exists(spark, Table("parquet", f"{path}/versions")):
+        classifier = load_model(spark, path)
+    else:
+        best, _ = search_params(rows.where(~F.col("is_test")), draws, folds, grid)
+        classifier = Classifier(best, vocabularies)
+        save_model(classifier, path)
     right, report = evaluate(classifier, rows.where("is_test"))
     return classifier, right, report

@@ -34,14 +34,14 @@ def latest_of(
     return latest.join(keys, key, "left_semi").select(incidents.columns)
 
 
-def release(
+def release_counted(
     spark: SparkSession,
     incidents: Table,
     acks: Table,
     topic: Topic,
     min_rows: int = schemas.RELEASE_ROWS,
-) -> int:
-    """Publish every pending incident once at least ``min_rows`` wait; rows sent.
+) -> dict[str, int]:
+    """Publish every pending incident once at least ``min_rows`` wait; rows pending and sent.
 
     The gate looks at keys only, so a closed gate never reads whole incidents. Gate and
     publication see the same files. Until the acknowledgements arrive the same rows go
@@ -53,6 +53,17 @@ def release(
     keys = materialise(pending_keys(stored, read_table(spark, acks)))
     rows = keys.count()
     if rows < min_rows:
-        return 0
+        return {"pending": rows, "sent": 0}
     publish_rows(latest_of(stored, keys), topic)
-    return rows
+    return {"pending": rows, "sent": rows}
+
+
+def release(
+    spark: SparkSession,
+    incidents: Table,
+    acks: Table,
+    topic: Topic,
+    min_rows: int = schemas.RELEASE_ROWS,
+) -> int:
+    """``release_counted``; rows sent."""
+    return release_counted(spark, incidents, acks, topic, min_rows)["sent"]

@@ -60,17 +60,34 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_all([running], LIMIT)
 
     first = messages(spark, sf_dir)
-    first.coalesce(1).write.parquet(topic.name)
+    first.write.parquet(topic.name)
     run()
     text = F.col("value").cast("string")
     renamed = F.regexp_replace(text, '"cmplnt_num":"A', '"cmplnt_num":"RA')
     fresh = first.where(text.contains('"cmplnt_num":"A') & text.contains('"boro_nm":"ASIA"'))
     again = first.unionByName(fresh.withColumn("value", renamed.cast("binary")))
-    again.coalesce(1).write.mode("append").parquet(topic.name)
+    again.write.mode("append").parquet(topic.name)
     run()
     return _stored(spark, target)
 
 
+@query(
+    UNIQUE
+    + """SELECT (SELECT count(*) FROM records) AS received, count(*) AS keys, cast(0 AS bigint) AS existing,
+count(*) AS inserted, count(*) AS pending, CASE WHEN count(*) >= 100 THEN count(*) ELSE 0 END AS sent FROM uniq"""
+)
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the running incident stream reports of its batches."""
+    reported = _parquet(spark, "metrics")
+    running = jobs.incident_stream(
+        message_stream(spark, sf_dir), _parquet(spark, "incidents"), _parquet(spark, "acks"),
+        Topic("file", scratch(spark, "train")), scratch(spark, "state"), ONCE, 100, reported,
+    )
+    run_all([running], LIMIT)
+    total = [F.sum(c).alias(c) for c in ("received", "keys", "existing", "inserted")]
+    return read_table(spark, reported).agg(*total, F.max("pending").alias("pending"), F.max("sent").alias("sent"))
+
+
 @query(UNIQUE + "SELECT cmplnt_num AS id, 'sent' AS status FROM uniq")
 def stream_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents ingested and released by one stream, acknowledged by a second."""

@@ -18,7 +18,7 @@ class Table:
     options: dict[str, str] = field(default_factory=dict)
 
 
-def _exists(spark: SparkSession, table: Table) -> bool:
+def exists(spark: SparkSession, table: Table) -> bool:
     if table.kind == "catalog":
         return spark.catalog.tableExists(table.name)
     context = spark.sparkContext
@@ -96,5 +96,5 @@ def ensure_table(spark: SparkSession, table: Table, schema: T.StructType) -> Non
         empty.write.mode("ignore").format("jdbc").options(
             **table.options, dbtable=table.name
         ).save()
-    elif not _exists(spark, table):
+    elif not exists(spark, table):
         append(spark.createDataFrame([], schema), table)

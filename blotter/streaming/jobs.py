@@ -14,13 +14,19 @@ from blotter.operators.labels import known_label
 from blotter.operators.metrics import token_counts
 from blotter.plans import model
 from blotter.plans.ingest import acknowledge_into, ingest_into, unique_records
-from blotter.plans.release import release
+from blotter.plans.release import release_counted
 from blotter.plans.requests import serve_requests
 from blotter.session import materialise
 from blotter.sources.messages import Topic
 from blotter.sources.tables import Table, append, ensure_table, read_table
 from blotter.streaming.batches import run_batches
 
+METRICS = T.StructType(
+    [
+        T.StructField(name, T.LongType())
+        for name in ("received", "keys", "existing", "inserted", "pending", "sent")
+    ]
+)
 FITS = T.StructType([T.StructField("rows", T.LongType()), T.StructField("batch", T.LongType())])
 
 
@@ -32,17 +38,27 @@ def ingest_stream(
     checkpoint: str,
     trigger: dict | None = None,
     reject_table: Table | None = None,
-    after: Callable[[SparkSession], object] | None = None,
+    after: Callable[[SparkSession], dict[str, int]] | None = None,
+    metrics: Table | None = None,
 ) -> StreamingQuery:
     """Messages (part, off, value) into ``target``.
 
+    ``after`` runs once a batch is stored. Its counts and those of the ingest go to the
+    Parquet folder ``metrics``, one row for each batch; a batch that comes again replaces
+    its row.
+
     What is already stored is read from the target itself, so no state grows in the
     stream and a replayed batch adds nothing.
     """
     def step(batch: DataFrame, number: int) -> None:
-        ingest_into(batch, schema, key, target, reject_table)
+        spark = batch.sparkSession
+        counts = ingest_into(batch, schema, key, target, reject_table)
         if after is not None:
-            after(batch.sparkSession)
+            counts |= after(spark)
+        if metrics is not None:
+            row = tuple(counts.get(name) for name in METRICS.names)
+            one = spark.createDataFrame([row], METRICS).coalesce(1)
+            one.write.mode("overwrite").parquet(f"{metrics.name}/run={number}")
 
     return run_batches(stream, step, checkpoint, trigger)
 
@@ -55,6 +71,7 @@ def incident_stream(
     checkpoint: str,
     trigger: dict | None = None,
     min_rows: int = schemas.RELEASE_ROWS,
+    metrics: Table | None = None,
 ) -> StreamingQuery:
     """Ingest incidents and after each batch release what is pending."""
     return ingest_stream(
@@ -64,7 +81,8 @@ def incident_stream(
         incidents,
         checkpoint,
         trigger,
-        after=lambda spark: release(spark, incidents, acks, topic, min_rows),
+        after=lambda spark: release_counted(spark, incidents, acks, topic, min_rows),
+        metrics=metrics,
     )
 
 

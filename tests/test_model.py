@@ -104,3 +104,12 @@ def test_rejected_requests_have_a_reason(rows):
     assert {(r.cmplnt_num, r.reason) for r in rejected.collect()} == {
         ("5", "bad cmplnt_fr_dt"), ("7", "bad cmplnt_fr_tm"),
     }
+
+
+def test_a_stored_model_is_kept(rows, tmp_path, monkeypatch):
+    path, grid = str(tmp_path / "kept"), {"numTrees": [2], "maxDepth": [2]}
+    first, _, _ = model.train_all(rows, ["cmplnt_num"], path, 3, 1, 2, grid)
+    monkeypatch.setattr(model, "search_params", None)
+    again, right, _ = model.train_all(rows, ["cmplnt_num"], path, 3, 1, 2, grid, keep=True)
+    assert again.model.stages[-1].getNumTrees == first.model.stages[-1].getNumTrees == 2
+    assert right.first().accuracy > 0
