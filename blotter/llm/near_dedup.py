@@ -352,7 +352,9 @@ def near_duplicates(
     documents = chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     sums = totals(chunks, _count(shingle)).drop("total", "distinct")
     marks = materialise(
-        attach(chunks.select("chunk", "data"), sums, "left").mapInArrow(
+        # The sums are a part of the corpus, so they meet the chunks in a shuffle at any size.
+        chunks.select("chunk", "data").join(sums.drop("bytes").hint("merge"), "chunk", "left")
+        .mapInArrow(
             _sign(shingle, documents, bands, rows),
             "chunk long, pos int, doc_id long, node binary, bands array<long>, held binary",
         )
