@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,7 +41,8 @@ def pack(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            lengths = [len(x or b"") for x in batch["text"].cast(pa.binary()).to_pylist()]
+            text = batch["text"].cast(pa.binary())
+            lengths = pc.fill_null(pc.binary_length(text), 0).to_pylist()
             low = 0
             for i, length in enumerate(lengths):
                 if size and size + length > chunk_bytes:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from blotter.llm.columns import others
-from blotter.llm.words import as_bytes, grams, hash_words, letters, runs
+from blotter.llm.words import as_bytes, grams, hash_words, letters, runs, sliced
 
 WINDOW = 10
 GRAM = 5
@@ -174,7 +174,7 @@ def _held(spark, benchmark, window, gram, block_bytes):
 def _scan(held, names: list[str], final: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Fingerprints.of(held.value)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = as_bytes(batch["text"])
             sizes = np.zeros(len(texts), np.int64)
             spans = [list(np.frombuffer(x, np.int32).reshape(-1, 2)) for x in batch["_spans"].to_pylist()]

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from blotter.llm.columns import others
-from blotter.llm.words import as_bytes, hash_words, letters, mix, owners, runs
+from blotter.llm.words import as_bytes, hash_words, letters, mix, owners, runs, sliced
 
 #: Labelled documents that the chain is fitted on, at most; the smallest hashes of doc_id.
 SAMPLE = 12_000
@@ -19,7 +19,7 @@ FOLDS = 3
 FEATURES = 256
 LEAST_Z = 4.5
 RIDGE = 0.1
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 18
 CATEGORIES = ("low_quality", "toxic", "unfit")
 
 
@@ -66,9 +66,9 @@ def _newton(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     return w
 
 
-def _fit_link(words, owner, n, y, chained) -> Link:
-    """Fit on ``n`` documents: choose the words most tied to the label, then weigh them."""
-    vocabulary, code = np.unique(words, return_inverse=True)
+def _fit_link(vocabulary, code, owner, n, y, chained) -> Link:
+    """Fit on ``n`` documents, whose words are ``vocabulary[code]``: choose the words most
+    tied to the label, then weigh them."""
     held = np.bincount(code, minlength=len(vocabulary)).astype(float)
     with_label = np.bincount(code, weights=y[owner], minlength=len(vocabulary))
     rate = y.mean() if n else 0.0
@@ -114,14 +114,21 @@ def fit_chain(sets: list[np.ndarray], labels: np.ndarray, names: list[int]) -> l
     number = np.full(n, -1)
     number[kept] = np.arange(len(kept))
     mine = number[owner] >= 0
-    words, owner, labels = words[mine], number[owner[mine]], labels[kept]
+    vocabulary, code = np.unique(words[mine], return_inverse=True)
+    owner, labels = number[owner[mine]].astype(np.int32), labels[kept]
+    # No link chooses a word that fewer than three documents hold.
+    often = np.bincount(code, minlength=len(vocabulary)) >= 3
+    mine = often[code]
+    code = (np.cumsum(often) - 1)[code[mine]].astype(np.int32)
+    vocabulary, owner = vocabulary[often], owner[mine]
+    del words, mine
     fold = (mix(np.array(names, np.int64).view(np.uint64))[kept] % np.uint64(FOLDS)).astype(int)
     n = len(kept)
     chained = np.zeros((n, 0))
     links = []
     for category in range(labels.shape[1]):
         y = labels[:, category].astype(float)
-        links.append(_fit_link(words, owner, n, y, chained))
+        links.append(_fit_link(vocabulary, code, owner, n, y, chained))
         if category + 1 == labels.shape[1]:
             break  # nothing is fed from the last one
         unseen = np.zeros(n)
@@ -130,16 +137,17 @@ def fit_chain(sets: list[np.ndarray], labels: np.ndarray, names: list[int]) -> l
             renumber = np.cumsum(outside) - 1
             train = outside[owner]
             link = _fit_link(
-                words[train], renumber[owner[train]], int(outside.sum()), y[outside], chained[outside]
+                vocabulary, code[train], renumber[owner[train]], int(outside.sum()), y[outside],
+                chained[outside],
             )
-            unseen[inside] = _predict(link, words, owner, n, chained)[inside]
+            unseen[inside] = _predict(link, vocabulary[code], owner, n, chained)[inside]
         chained = np.column_stack([chained, unseen])
     return links
 
 
 def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The texts' distinct words, so that what meets in the task of the fit is small."""
-    for batch in batches:
+    for batch in sliced(batches):
         texts = as_bytes(batch["text"])
         sets = [b""] * len(texts)
         for low, words, owner in word_sets(texts):
@@ -231,7 +239,7 @@ def score_toxicity(
     fields = {f.name: f for f in frame.schema.fields}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = as_bytes(batch["text"])
             n = len(texts)
             sizes, found = np.zeros(n, np.int64), np.zeros((n, len(links)))

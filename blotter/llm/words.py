@@ -90,6 +90,13 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are held a second time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def runs(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
     """Split ``texts`` into runs of at most ``limit`` bytes, or of a single text."""
     low, size = 0, 0
