@@ -56,26 +56,30 @@ def pack(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     path = scratch(docs.sparkSession, "chunks")
     schema = "chunk long, n long, size long, data binary"
-    packed = docs.mapInArrow(fill, schema)
-    packed.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
-    return docs.sparkSession.read.schema(packed.schema).parquet(path)
+    filled = docs.mapInArrow(fill, schema)
+    filled.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
+    return docs.sparkSession.read.schema(filled.schema).parquet(path)
 
 
 def _row(chunk: int, held: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
     table = pa.Table.from_batches(held).combine_chunks()
-    sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
-        writer.write_table(table)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([chunk], pa.int64()), pa.array([table.num_rows], pa.int64()),
-            pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+            pa.array([size], pa.int64()), pa.array([packed(table)], pa.binary()),
         ],
         names=["chunk", "n", "size", "data"],
     )
 
 
+def packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 def unpack(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 

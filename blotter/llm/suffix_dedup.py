@@ -8,16 +8,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from blotter.llm.chunks import attach, joined, pack, rows_of, totals, unpack
+from blotter.llm.chunks import attach, joined, pack, packed, rows_of, totals, unpack
 from blotter.llm.decontamination import winnow
 from blotter.llm.near_dedup import text_keys
-from blotter.llm.words import as_bytes, grams, hash_words, letters, owners, runs
+from blotter.llm.words import _FACTOR, as_bytes, grams, hash_words, letters, mix, owners, runs
 from blotter.session import materialise
 
 LEAST = 50
 GRAM = 10
 SPACING = 31
-#: Neighbours on either side that a suffix is compared with.
+#: Neighbours on either side that a suffix is compared with. First words that come more
+#: often are settled by the hashes of all windows around them instead.
 REACH = 64
 RUN_BYTES = 1 << 20
 _KEY = np.uint64(0xFFFFFFFFFFFF0000)
@@ -61,21 +62,30 @@ def _count(gram: int, spacing: int):
     return count
 
 
-def _suffixes(least: int, gram: int, spacing: int):
+def _anchored(texts: list[bytes], gram: int, spacing: int):
+    """For runs of texts: the first text's number, words, bounds and anchors; and the
+    sorted distinct keys of all anchors, in whose order the sums of a chunk come."""
+    found = []
+    for low, high in runs(texts, RUN_BYTES):
+        words, _, _, _, bounds = hash_words(texts[low:high], letters())
+        found.append((low, words, bounds, *anchors(words, bounds, gram, spacing)))
+    return found, np.unique(np.concatenate([x[4] for x in found] or [np.empty(0, np.uint64)]))
+
+
+def _suffixes(least: int, gram: int, spacing: int, reach: int):
+    """The suffixes whose first words come again, but no more than ``reach`` times."""
+
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             texts = as_bytes(unpack(row["data"])["text"].combine_chunks())
-            found = []
-            for low, high in runs(texts, RUN_BYTES):
-                words, _, _, _, bounds = hash_words(texts[low:high], letters())
-                found.append((low, words, bounds, *anchors(words, bounds, gram, spacing)))
-            keys = np.unique(np.concatenate([x[4] for x in found] or [np.empty(0, np.uint64)]))
+            found, keys = _anchored(texts, gram, spacing)
             sums = joined(row["sums"] or [])
             seen: set[bytes] = set()
             for low, words, bounds, at, key, owner in found:
                 own = text_keys(texts[low : low + len(bounds) - 1], words, bounds)
                 new = np.array([not (k in seen or seen.add(k)) for k in own], bool)
-                chosen = new[owner] & (sums[np.searchsorted(keys, key)] > 1)
+                times = sums[np.searchsorted(keys, key)]
+                chosen = new[owner] & (times > 1) & (times <= reach)
                 at, owner = at[chosen], owner[chosen]
                 for a in range(0, len(at), 8192):
                     part, who = at[a : a + 8192], owner[a : a + 8192]
@@ -93,6 +103,108 @@ def _suffixes(least: int, gram: int, spacing: int):
     return suffixes
 
 
+def windows(words: np.ndarray, bounds: np.ndarray, at: np.ndarray, least: int, gram: int):
+    """The windows of ``least`` words inside a text that hold the whole first ``gram`` words
+    of one of the suffixes ``at``: where they start, and their hashes."""
+    every = grams(words, gram)
+    n = len(words) - least + 1
+    if n <= 0 or not len(at):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    before = np.zeros(len(every) + 1, np.int64)
+    before[at + 1] = 1
+    before = np.cumsum(before)
+    owner = owners(bounds)
+    holds = before[least - gram + 1 :][:n] > before[:n]
+    start = np.flatnonzero(holds & (owner[:n] == owner[least - 1 :]))
+    total = np.zeros(len(start), np.uint64)
+    for j in (*range(0, least - gram, gram), least - gram):
+        total = total * np.uint64(_FACTOR) + every[start + j]
+    return start, mix(total)
+
+
+def _windows(least: int, gram: int, spacing: int, reach: int):
+    """For each chunk the windows around suffixes whose first words come more than
+    ``reach`` times: hash, text and place of each, in the order of the text."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            sums = joined(row["sums"] or [])
+            if not (sums > reach).any():
+                continue
+            texts = as_bytes(unpack(row["data"])["text"].combine_chunks())
+            found, keys = _anchored(texts, gram, spacing)
+            hashes, who, gaps = [], [], []
+            for low, words, bounds, at, key, _ in found:
+                hot = at[sums[np.searchsorted(keys, key)] > reach]
+                start, own = windows(words, bounds, hot, least, gram)
+                owner = np.searchsorted(bounds, start, "right") - 1
+                hashes.append(own)
+                who.append(low + owner)
+                # Differences, mostly 1, take next to no space when compressed.
+                gaps.append(np.diff(start - bounds[owner], prepend=0))
+            table = pa.table(
+                {
+                    "hash": np.concatenate(hashes),
+                    "pos": np.concatenate(who).astype(np.int32),
+                    "gap": np.concatenate(gaps).astype(np.int32),
+                    "fresh": np.concatenate([np.arange(len(x)) == 0 for x in gaps]),
+                }
+            )
+            if table.num_rows:
+                # Six bytes of text stand for a key of eight.
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["chunk"]], pa.int64()),
+                        pa.array([6 * table.num_rows], pa.int64()),
+                        pa.array([packed(table)], pa.binary()),
+                    ],
+                    names=["chunk", "size", "data"],
+                )
+
+    return find
+
+
+def _holders(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """How many texts of a chunk hold a window, however often each."""
+    hashes, pos = table["hash"].to_numpy(), table["pos"].to_numpy()
+    order = np.lexsort((pos, hashes))
+    hashes, pos = hashes[order], pos[order]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (pos[1:] != pos[:-1])
+    return np.unique(hashes[fresh], return_counts=True)
+
+
+def _shared(least: int):
+    """The passages made of windows that more than one text holds."""
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            table = unpack(row["data"])
+            _, code = np.unique(table["hash"].to_numpy(), return_inverse=True)
+            pos, gap = table["pos"].to_numpy().astype(np.int64), table["gap"].to_numpy()
+            # Differences start anew with each run of texts.
+            sums = np.cumsum(gap, dtype=np.int64)
+            runs_ = np.flatnonzero(table["fresh"].to_numpy(zero_copy_only=False))
+            start = sums - np.repeat((sums - gap)[runs_], np.diff(np.append(runs_, len(gap))))
+            hit = np.flatnonzero(joined(row["sums"])[code] > 1)
+            pos, start = pos[hit], start[hit]
+            new = np.ones(len(hit), bool)
+            new[1:] = (pos[1:] != pos[:-1]) | (start[1:] > start[:-1] + least)
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(hit))[: len(first)] - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(first), row["chunk"]), pa.int64()),
+                    pa.array(pos[first], pa.int32()),
+                    pa.array(start[first], pa.int32()),
+                    pa.array(start[last] + least, pa.int32()),
+                ],
+                names=["chunk", "pos", "first", "last"],
+            )
+
+    return shared
+
+
 def _binary(symbols: np.ndarray) -> pa.Array:
     data = symbols.astype(">u4")
     width = data.shape[1] * 4
@@ -216,16 +328,16 @@ def repeated_passages(
     A sparse suffix array: suffixes are retained where the hash of their first ``gram``
     words is the smallest of ``spacing`` in a row, so equal passages retain equal ones, at
     least one in every ``spacing + gram - 1`` words. Suffixes whose first words come once
-    in the corpus (exact counts) can share no passage and go. The others are sorted by the
-    words that follow and compared with up to ``reach`` neighbours on either side; matches
-    are extended to the right and to the left, and count from ``least`` words on. Texts
-    with the same words as another are repeated as a whole; of copies in a chunk only the
-    first is sorted. Partitions of the sort overlap by ``reach`` rows.
-
-    Matches with neighbours reach any passage whose words after the suffix, or all of
-    it, mark it off from others; among more than ``reach`` suffixes with equal words
-    after but different words before them, a partner beyond the reach may be passed over
-    if no other suffix of the passage finds it.
+    in the corpus (exact counts) can share no passage and go. Those whose first words come
+    up to ``reach`` times are sorted by the words that follow and compared with ``reach``
+    neighbours on either side, so with all that start alike; matches are extended to the
+    right and to the left, and count from ``least`` words on. Partitions of the sort overlap
+    by ``reach`` rows. Where the first words come more often, the windows of ``least`` words
+    that hold them are counted instead, by 64-bit hashes and once for each text, and those
+    that more than one text holds are repeated. Equal windows retain an equal suffix, so
+    they meet in one of the two ways, however often a passage comes and whatever stands
+    around it. Texts with the same words as another are repeated as a whole; of copies in a
+    chunk only the first is sorted.
 
     Returns doc_id, n_words, n_repeated (words inside passages), passages (array of first
     word and word after the last, merged), copies (documents with the same words). Words
@@ -239,19 +351,29 @@ def repeated_passages(
     plain = chunks.select("chunk", "data")
     sums = totals(chunks, _count(gram, spacing)).drop("total", "distinct")
     order = ["right", "left", "chunk", "pos", "at"]
+    counted = attach(plain, sums)
     found = materialise(
-        attach(plain, sums)
+        counted
         .mapInArrow(
-            _suffixes(least, gram, spacing), "right binary, left binary, chunk long, pos int, at int"
+            _suffixes(least, gram, spacing, reach), "right binary, left binary, chunk long, pos int, at int"
         )
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .mapInArrow(_neighbours(least, reach, True), _SPANS)
     )
-    # 2 * reach rows for each partition of the sort.
+    hot = materialise(
+        counted.mapInArrow(
+            _windows(least, gram, spacing, reach), "chunk long, size long, data binary"
+        )
+    )
+    holders = totals(hot, _holders, 64).drop("total", "distinct")
+    shared = attach(hot.select("chunk", "data"), holders).mapInArrow(
+        _shared(least), "chunk long, pos int, first int, last int"
+    )
+    # 2 * reach rows for each partition of the sort; those of a short one come twice.
     edges = (
         found.where(F.col("right").isNotNull()).select(*order).repartition(1)
-        .sortWithinPartitions(*order).mapInArrow(_neighbours(least, reach, False), _SPANS)
+        .sortWithinPartitions(*order).mapInArrow(_neighbours(least, 2 * reach, False), _SPANS)
     )
     texts = materialise(
         plain.mapInArrow(_sizes, "chunk long, pos int, doc_id long, n_words long, node binary")
@@ -260,6 +382,7 @@ def repeated_passages(
     texts = texts.join(copies, "node").drop("node")
     spans = (
         found.where(F.col("right").isNull()).unionByName(edges).select("chunk", "pos", "first", "last")
+        .unionByName(shared)
         .groupBy("chunk", "pos")
         .agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("_spans"))
     )

@@ -197,6 +197,17 @@ def test_passages_across_partitions_of_the_sort(make, prose, spark):
     assert [r["n_repeated"] for r in found] == [60] * 12
 
 
+def test_a_passage_repeated_in_one_document_meets_the_others(make, prose):
+    """More occurrences in one document than neighbours a suffix is compared with."""
+    passage = prose(8001, 60)
+    often = " ".join(f"{passage} {prose(8100 + i, 3)}" for i in range(300))
+    rows = [(1, often), (2, f"{prose(11, 40)} {passage} {prose(12, 40)}"), (3, prose(13, 90))]
+    rows += [(4, f"{prose(14, 70)} " * 90), (5, prose(15, 200))]  # repeats itself only
+    found = {r["doc_id"]: r for r in suffix_dedup.repeated_passages(make(rows)).collect()}
+    assert [found[i]["n_repeated"] for i, _ in rows] == brute_passages(rows, 50)
+    assert found[1]["n_repeated"] == 300 * 60 and found[4]["n_repeated"] == 0
+
+
 def test_passages_of_odd_rows(make, odd):
     rows = suffix_dedup.repeated_passages(make(odd)).collect()
     assert len(rows) == len(odd) and all(r["n_repeated"] == 0 for r in rows)
