@@ -208,6 +208,19 @@ def test_a_passage_repeated_in_one_document_meets_the_others(make, prose):
     assert found[1]["n_repeated"] == 300 * 60 and found[4]["n_repeated"] == 0
 
 
+def test_passages_that_go_on_to_the_left_of_a_common_core(make, prose):
+    """A core of every document, too short by itself, scatters the pairs that share more
+    words before it among all of its holders."""
+    core = prose(8002, 45)
+    rows = [
+        (i, f"{prose(i, 20)} {prose(20_000 + i // 2, 15)} {core} {prose(40_000 + i, 20)}")
+        for i in range(200)
+    ]
+    rows += [(200 + i, f"{prose(200 + i, 30)} {core} {prose(60_000 + i, 9)}") for i in range(100)]
+    found = {r["doc_id"]: r for r in suffix_dedup.repeated_passages(make(rows)).collect()}
+    assert [found[i]["n_repeated"] for i, _ in rows] == brute_passages(rows, 50) == [60] * 200 + [0] * 100
+
+
 def test_passages_of_odd_rows(make, odd):
     rows = suffix_dedup.repeated_passages(make(odd)).collect()
     assert len(rows) == len(odd) and all(r["n_repeated"] == 0 for r in rows)
