@@ -18,6 +18,13 @@ from blotter.session import materialise
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
+#: The weight of a shingle that one in 50 documents holds. Similarity also counts with
+#: weights up to this one, so that a changed word weighs no more in a larger corpus.
+BOUND = 1 + float(np.log10(50))
+#: Texts whose shingles weigh less on average, as a share of what one document's alone does,
+#: are sampled with bounded weights too. For others a bounded similarity of 0.8 is an
+#: unbounded one of 0.75 at least, which the bands miss once in 400.
+LIGHT = 0.8
 #: Nodes that are compared in one task; larger groups are cut into blocks of so many.
 BLOCK = 512
 RUN_BYTES = 1 << 16
@@ -126,6 +133,21 @@ class Sampler:
         return owner[first], result
 
 
+def bounded(weights: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The weights as they are in a corpus of any size: no shingle is rarer than 1 in 50."""
+    return np.minimum(weights, (times * BOUND).astype(np.float32))
+
+
+def light(weights: np.ndarray, times: np.ndarray, owner: np.ndarray, documents: int) -> np.ndarray:
+    """The owners whose bounded similarity to others may be far above the unbounded one."""
+    most = float(idf_weights(np.ones(1), np.ones(1), documents)[0])
+    if most <= BOUND or not len(owner):
+        return np.empty(0, np.int64)
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    whole = np.add.reduceat(weights, first, dtype=np.float64)
+    return owner[first][whole < LIGHT * most * np.add.reduceat(times, first)]
+
+
 def weighted_jaccard(a: tuple, b: tuple) -> float:
     """Sum of the smaller weights over sum of the larger; (sorted hashes, weights) each."""
     at = np.searchsorted(a[0], b[0])
@@ -175,6 +197,11 @@ def _sign(size: int, documents: int, bands: int, rows: int):
                 for i, part, c in zip(which, found, np.split(counts, edges[1:])):
                     marks[low + i] = part.tobytes()
                     held[low + i] = squeeze(c)
+                also = np.isin(owner, light(weights, times, owner, documents))
+                if also.any():
+                    soft = bounded(weights[also], times[also])
+                    for i, part in zip(*sampler.bands_of(hashes[also], soft, owner[also])):
+                        marks[low + i] += part.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row["chunk"]] * len(texts), pa.int64()),
@@ -208,7 +235,8 @@ def _vectors(size: int, documents: int):
                     want = asked[low + i]
                     weights = idf_weights(times[a:b], expand(want["held"]), documents)
                     bands = np.array(want["bands"], np.int64).tobytes()
-                    own = want["node"], bands, hashes[a:b].tobytes(), weights.tobytes()
+                    counts = squeeze(times[a:b])
+                    own = want["node"], bands, hashes[a:b].tobytes(), weights.tobytes(), counts
                     out += [(g["name"], g["side"], g["band"], *own) for g in want["groups"]]
                     weight += 12 * (b - a) * len(want["groups"])
                     if weight > 32 * RUN_BYTES:
@@ -220,21 +248,23 @@ def _vectors(size: int, documents: int):
 
 
 _VECTORS = (
-    "name binary, side int, band int, node binary, bands binary, hashes binary, weights binary"
+    "name binary, side int, band int, node binary, bands binary, hashes binary, weights binary, "
+    "times binary"
 )
 
 
 def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [[]] * 7
-    kinds = [pa.binary(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    columns = list(zip(*rows)) or [[]] * 8
+    kinds = [pa.binary(), pa.int32(), pa.int32(), *[pa.binary()] * 5]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)],
-        names=["name", "side", "band", "node", "bands", "hashes", "weights"],
+        names=["name", "side", "band", "node", "bands", "hashes", "weights", "times"],
     )
 
 
 def _link(least: float):
-    """Links that join the nodes of a group: pairs with an equal band and the similarity.
+    """Links that join the nodes of a group: pairs with an equal band and the similarity,
+    with weights as they are or bounded.
 
     A pair that is joined already, by other links, is not compared again, and one that
     meets in several buckets is compared in the first of them. Each node is compared with
@@ -244,43 +274,56 @@ def _link(least: float):
     def link(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["side", "node"]).reset_index(drop=True)
         n, side = len(frame), frame["side"].to_numpy()
-        bands = np.stack([np.frombuffer(x, np.int64) for x in frame["bands"]])
+        bands = [np.frombuffer(x, np.int64) for x in frame["bands"]]
+        # Texts without bounded bands have zeros there, which equal nothing.
+        width = max(map(len, bands))
+        bands = np.stack([np.pad(x, (0, width - len(x))) for x in bands])
         vectors = [
             (np.frombuffer(h, np.uint64), np.frombuffer(w, np.float32))
             for h, w in zip(frame["hashes"], frame["weights"])
         ]
+        soft = [(h, bounded(w, expand(x))) for (h, w), x in zip(vectors, frame["times"])]
         sizes = np.array([len(h) for h, _ in vectors])
         starts = np.concatenate([[0], np.cumsum(sizes)])
         weights = np.concatenate([w for _, w in vectors])
+        lower = np.concatenate([w for _, w in soft])
         elements, code = np.unique(np.concatenate([h for h, _ in vectors]), return_inverse=True)
         sums = np.add.reduceat(weights, starts[:-1], dtype=np.float64)
+        lower_sums = np.add.reduceat(lower, starts[:-1], dtype=np.float64)
+        ways = [(vectors, weights, sums), (soft, lower, lower_sums)][: 1 + (lower < weights).any()]
         mine = np.zeros(len(elements), np.float32)
         band, crossed = int(frame["band"].iloc[0]), side[0] != side[-1]
         root = np.arange(n)
         found = []
+
+        def similar(a: int, partners: np.ndarray, sets: list[tuple], values: np.ndarray, whole: np.ndarray):
+            if len(partners) < n // 8:
+                return np.array([weighted_jaccard(sets[a], sets[b]) for b in partners])
+            own = code[starts[a] : starts[a + 1]]
+            mine[own] = sets[a][1]
+            shared = np.add.reduceat(np.minimum(mine[code], values), starts[:-1], dtype=np.float64)
+            mine[own] = 0
+            return (shared / (whole[a] + whole - shared))[partners]
+
         for a in range(n - 1):
-            equal = bands[a] == bands[a + 1 :]
+            equal = (bands[a] == bands[a + 1 :]) & (bands[a] != 0)
             if band < 0:
                 open_ = equal.any(axis=1)
             else:
                 open_ = equal[:, band] & ~equal[:, :band].any(axis=1)
             if crossed:
                 open_ &= side[a + 1 :] != side[a]
-            low, high = np.minimum(sums[a], sums[a + 1 :]), np.maximum(sums[a], sums[a + 1 :])
-            open_ &= (root[a + 1 :] != root[a]) & (low >= least * high)
-            partners = np.flatnonzero(open_) + a + 1
-            if not len(partners):
-                continue
-            if len(partners) < n // 8:
-                alike = np.array([weighted_jaccard(vectors[a], vectors[b]) for b in partners])
-            else:
-                own = code[starts[a] : starts[a + 1]]
-                mine[own] = vectors[a][1]
-                shared = np.add.reduceat(np.minimum(mine[code], weights), starts[:-1], dtype=np.float64)
-                mine[own] = 0
-                alike = (shared / (sums[a] + sums - shared))[partners]
+            open_ &= root[a + 1 :] != root[a]
+            alike = np.zeros(n)
+            for sets, values, whole in ways:
+                low, high = np.minimum(whole[a], whole[a + 1 :]), np.maximum(whole[a], whole[a + 1 :])
+                fit = open_ & (low >= least * high) & (alike[a + 1 :] < least)
+                if len(partners := np.flatnonzero(fit) + a + 1):
+                    alike[partners] = similar(a, partners, sets, values, whole)
+            partners = np.flatnonzero(alike >= least)
+            alike = alike[partners]
             for b, similarity in zip(partners, alike):
-                if similarity >= least and root[a] != root[b]:
+                if root[a] != root[b]:
                     root[root == root[b]] = root[a]
                     found.append((frame["node"][a], frame["node"][b], float(similarity)))
         return pd.DataFrame(found, columns=["a", "b", "similarity"])
@@ -336,10 +379,14 @@ def near_duplicates(
     Texts with the same words in the same order are one node, however many copies there
     are. Shingles of ``shingle`` words weigh their times in the text by how rare they are
     among all documents, exactly counted. ``bands`` times ``rows`` weighted samples of a
-    node make candidates: nodes with an equal band. Nodes that candidates connect meet in
+    node make candidates: nodes with an equal band. As the weight of a changed word grows
+    with the corpus, against that of words a large family shares, two texts are also alike
+    if they are with no weight above that of a shingle in one of 50 documents, which is the
+    same for fewer than 100 documents; texts of common shingles get as many samples by these
+    bounded weights. Nodes that candidates connect meet in
     one task, or bucket by bucket in pairs of blocks where they are more than ``block``;
     there every two nodes with an equal band that other links do not join yet are compared
-    on the exact weighted Jaccard similarity. So no candidate link between different
+    on the exact weighted Jaccard similarity, both ways. So no candidate link between different
     texts is lost, no pairs are written out, and a text travels once for each group.
 
     The first frame has a row for each document: chunk, pos (its place in the second), doc_id,

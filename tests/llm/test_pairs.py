@@ -72,6 +72,21 @@ def test_samples_estimate_weighted_similarity():
     assert abs((one == two).mean() - exact) < 0.04
 
 
+@pytest.mark.parametrize("documents", [90, 3000])
+def test_a_family_stays_one_class_as_the_corpus_grows(make, prose, documents):
+    """The more documents, the more a changed word weighs against words a family shares."""
+    base = prose(7000, 70).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, documents // 3):
+        mine = list(base)
+        mine[5 + i % 50] = f"new{i}"
+        rows.append((i, " ".join(mine)))
+    rows += [(i, f"{prose(i, 12)} by {i}") for i in range(len(rows), documents)]
+    family = documents // 3
+    found = near_dedup.near_duplicates(make(rows))[0].collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == {i: 0 if i < family else i for i, _ in rows}
+
+
 def test_near_duplicates_of_odd_rows(make, odd):
     rows = near_dedup.near_duplicates(make(odd))[0].collect()
     assert len(rows) == len(odd)
