@@ -97,14 +97,17 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def squeeze(values: np.ndarray) -> bytes:
-    """An array of non-negative whole numbers below 2^32, mostly small, in few bytes."""
-    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    """An array of non-negative whole numbers, mostly small, in few bytes: in four planes, or
+    in eight if any is 2^32 or more. The first byte says which."""
+    width = 8 if len(values) and values.max() > 0xFFFFFFFF else 4
+    planes = np.ascontiguousarray(values, f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
 
 def expand(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    width = data[0]
+    planes = np.frombuffer(zlib.decompress(memoryview(data)[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel()
 
 
 def shorten(keys: np.ndarray) -> bytes:
@@ -169,7 +172,7 @@ def totals(
             {
                 "chunk": frame["chunk"],
                 "bucket": frame["bucket"],
-                "sums": [squeeze(np.minimum(x, 0xFFFFFFFF)) for x in np.split(sums, ends)],
+                "sums": [squeeze(x) for x in np.split(sums, ends)],
                 "total": first * int(by_key.sum()),
                 "distinct": first * int((by_key > 0).sum()),
             }

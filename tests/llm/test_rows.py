@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, context_tree, mixing, sharding, toxicity, url_filters
+from blotter.llm import chat, chunks, context_tree, mixing, sharding, toxicity, url_filters
 from blotter.llm.url_rules import RULES
 from helpers import PlainTree, differencing, unigram
 
@@ -244,6 +244,16 @@ def test_scores_equal_a_plain_tree(make, prose, odd, depth):
         assert r["score"] == pytest.approx(tree.log10((text or "").encode()), rel=1e-5)
 
 
+def test_sums_beyond_four_bytes_are_whole(make, prose):
+    import numpy as np
+
+    packed = chunks.pack(make([(i, prose(i, 30)) for i in range(4)]).repartition(2), 1)
+    many = np.array([4_000_000_000, 3], np.uint64)
+    keys = np.array([1 << 40, 9 << 60], np.uint64)
+    for row in chunks.totals(packed, lambda _: (keys, many)).collect():
+        assert chunks.joined(row["sums"]).tolist() == [16_000_000_000, 12]
+
+
 def test_probabilities_of_a_byte_sum_to_one():
     import numpy as np
 
