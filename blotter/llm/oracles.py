@@ -146,5 +146,59 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+_NEGATIVES = """
+WITH e AS (
+    SELECT vec_id, cast(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+        [floor(256 * cast(x AS DOUBLE)) for x in embedding] AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+        cast(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    cast(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
+_SEARCH = """
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), corpus AS (
+    SELECT cast(count(*) AS BIGINT) AS n_all, cast(sum(len(w)) AS BIGINT) AS l_all FROM d WHERE len(w) > 0
+), tf AS (
+    SELECT doc_id, n, term, cast(count(*) AS BIGINT) AS tf
+    FROM (SELECT doc_id, cast(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) GROUP BY ALL
+), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term
+), q AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, cast(sum(
+        cast(floor(1000 * ln((2 * n_all + 2) / (2 * df + 1))) AS BIGINT)
+        * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_all) // l_all)))) AS BIGINT) AS score
+    FROM q JOIN df USING (term) JOIN tf USING (term), corpus GROUP BY item_id, doc_id
+)
+SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+    doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+
 def build(mix) -> dict[str, str]:
-    return {"op2_decontamination": _LEAKS, "op4_chat_formatting": _CHAT, "op7_url_filters": _urls(), "op8_mixing": _mix(mix)}
+    return {
+        "op2_decontamination": _LEAKS, "op4_chat_formatting": _CHAT, "op7_url_filters": _urls(),
+        "op8_mixing": _mix(mix), "op12_hard_negatives": _NEGATIVES, "op13_lexical_search": _SEARCH,
+    }

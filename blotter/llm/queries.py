@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter.llm.near_dedup import near_duplicates
@@ -9,10 +10,13 @@ from blotter.llm.oracles import build
 from blotter.llm.chat import rotate_perspectives
 from blotter.llm.context_tree import score_texts
 from blotter.llm.decontamination import find_leaks
+from blotter.llm.hard_negatives import mine_negatives
+from blotter.llm.lexical import build_index, search
 from blotter.llm.mixing import Mix, mix_sources
 from blotter.llm.sharding import shard
 from blotter.llm.simhash import fingerprint, within_radius
 from blotter.llm.suffix_dedup import repeated_passages
+from blotter.llm.token_store import lookup, write_store
 from blotter.llm.toxicity import learn, score_toxicity
 from blotter.llm.url_filters import filter_urls
 from blotter.llm.url_rules import RULES
@@ -93,11 +97,35 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document of the store, found by its key."""
+    docs = _table(spark, sf_dir, "documents")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    store = write_store(docs, tokenizer, end_id=2, apart=True)
+    copies = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    keys = copies.select("doc_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
+    return lookup(store, keys).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"), "copy"
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(_table(spark, sf_dir, "documents"))
+    return search(index, _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_decontamination, op3_sharding, op4_chat_formatting, op5_fingerprints,
         op6_suffix_dedup, op7_url_filters, op8_mixing, op9_toxicity, op10_lm_scoring,
+        op11_token_store, op12_hard_negatives, op13_lexical_search,
     )
 }
 ORACLES = build(MIX)
