@@ -37,7 +37,9 @@ def oracle_rows(sf_dir: str, sql: str) -> tuple[list[str], Counter]:
 
 def spark_rows(df) -> tuple[list[str], Counter]:
     names = sorted(df.columns)
-    types = {field.name: SQL_TYPES[field.dataType.simpleString()] for field in df.schema.fields}
+    kinds = {field.name: field.dataType.simpleString() for field in df.schema.fields}
+    # Nested columns occur in queries without SQL only; they keep Spark's name.
+    types = {name: SQL_TYPES.get(kind, kind) for name, kind in kinds.items()}
     rows = Counter(tuple(repr(v) for v in row) for row in df.select(names).collect())
     return [f"{name} {types[name]}" for name in names], rows
 
@@ -66,8 +68,9 @@ def main() -> int:
     parser.add_argument("--sf", default="0.01")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    from blotter.queries import catalogue
+    import __spark_entry__
 
+    queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
@@ -79,15 +82,13 @@ def main() -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
-    for name in args.names or catalogue.QUERIES:
+    for name in args.names or queries:
         start = time.time()
         try:
-            problem = compare(
-                spark, f"{DATA}/sf{args.sf}", catalogue.QUERIES[name], catalogue.ORACLES.get(name)
-            )
+            problem = compare(spark, f"{DATA}/sf{args.sf}", queries[name], oracles.get(name))
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
-        kind = "sql" if name in catalogue.ORACLES else "rows"
+        kind = "sql" if name in oracles else "rows"
         failed += bool(problem)
         print(f"{'FAIL' if problem else 'ok':4} {name:28} {kind:4} {time.time() - start:6.2f}s {problem}", flush=True)
     return 1 if failed else 0
