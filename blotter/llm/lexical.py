@@ -202,7 +202,7 @@ class _Segment:
         upto = np.cumsum(np.diff(self.bounds)[order])
         docs = np.concatenate([x[0] for x, _ in here])
         adds = np.concatenate([x[1] * w for x, w in here])
-        found, scored = [], []
+        found, scored = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         first, want = 0, FIRST_DOCS
         while first < len(order) and bound[order[first]] >= least:
             last = max(first + 1, int(np.searchsorted(upto, want)))
