@@ -1,7 +1,7 @@
 """Token ids as raw binary shards with a minimal perfect hash index over document keys.
 
-A store is a folder. ``ids`` holds shards, files of unsigned 32-bit little-endian ids, one
-document after another, and nothing else. ``index`` holds a file for each bucket of keys:
+A store is a folder. ``ids`` holds shards, files of unsigned little-endian ids of 16 bits, or
+of 32 where the vocabulary needs them, one document after another, and nothing else. ``index`` holds a file for each bucket of keys:
 a header, one pilot for each group of keys and one record for each key. ``shards`` and
 ``buckets`` are tables that name these files. A key is found by one pilot, one record and
 one range of ids, whatever the size of the store.
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from blotter.llm.words import mix, runs
-from blotter.session import materialise, scratch
+from blotter.session import MOST_PARTITIONS, materialise, scratch
 
 #: A shard ends at so many bytes of ids or documents; its readers hold one of them.
 SHARD_BYTES = 32 << 20
@@ -32,6 +32,8 @@ SHARD_DOCS = 1 << 16
 #: Keys of an index file, on average, and keys that share a pilot.
 BUCKET_KEYS = 1 << 16
 GROUP_KEYS = 2
+#: Text that one task encodes; the more, the fewer words are encoded in several tasks.
+TASK_BYTES = 64 << 20
 #: Text encoded at once, and different words whose ids a task remembers.
 SLICE_BYTES = 4 << 20
 REMEMBERED = 1 << 20
@@ -40,7 +42,8 @@ _HEADER = np.dtype([("keys", "<u8"), ("groups", "<u8")])
 
 
 class TokenStore(NamedTuple):
-    """``shards`` (shard, file, start, n_ids, n_docs) and ``buckets`` (bucket, file, n_keys)."""
+    """``shards`` (shard, file, start, n_ids, n_docs, width), where ``width`` is the bytes of an
+    id, and ``buckets`` (bucket, file, n_keys, buckets)."""
 
     path: str
     shards: DataFrame
@@ -72,45 +75,46 @@ class Encoder:
 
     def _forget(self) -> None:
         self._known = pa.array([], pa.string())
-        self._ids = np.empty(0, np.uint32)
-        self._bounds = np.zeros(1, np.int64)
+        # The first part is the end of a text.
+        self._ids = np.array([self._end], np.uint32)
+        self._bounds = np.array([0, 1], np.int64)
+
+    @property
+    def width(self) -> int:
+        """Bytes that hold any id."""
+        return 2 if max(self._tokenizer.get_vocab_size() - 1, self._end) < 1 << 16 else 4
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
         texts = pc.fill_null(texts, "")
         if self._apart:
-            ids, counts = self._by_parts(texts)
-        else:
-            found = self._tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
-            counts = np.array([len(x) for x in found], np.int64)
-            ids = np.concatenate([np.empty(0, np.uint32), *(np.array(x.ids, np.uint32) for x in found)])
-        ends = np.cumsum(counts + 1)
-        result = np.full(int(counts.sum()) + len(counts), self._end, np.uint32)
-        result[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
-        assert not len(ends) or ends[-1] == len(result)
-        return result, counts + 1
+            return self._by_parts(texts)
+        found = self._tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
+        ids = [np.array([*x.ids, self._end], np.uint32) for x in found]
+        return np.concatenate([np.empty(0, np.uint32), *ids]), np.array([len(x) for x in ids], np.int64)
 
     def _by_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.split_pattern(texts, " ")
-        bounds = split.offsets.to_numpy()
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         parts = split.flatten().dictionary_encode()
         at = pc.index_in(parts.dictionary, value_set=self._known)
         new = parts.dictionary.filter(at.is_null())
-        at = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
         if len(new):
-            at[at < 0] = np.arange(len(self._known), len(self._known) + len(new))
+            at[at == 0] = np.arange(len(self._known), len(self._known) + len(new)) + 1
             ids, counts = self._encode(new.to_pylist())
             self._known = pa.concat_arrays([self._known, new])
             self._ids = np.concatenate([self._ids, ids])
             self._bounds = np.concatenate([self._bounds, self._bounds[-1] + np.cumsum(counts)])
-        code = at[parts.indices.to_numpy()]
+        code = np.insert(at[parts.indices.to_numpy()], bounds[1:], 0)
         first = self._bounds[code]
         lengths = self._bounds[code + 1] - first
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self._ids[np.arange(upto[-1]) + np.repeat(first - upto[:-1], lengths)]
+        shift = (first - upto[:-1]).astype(np.int32)
+        ids = self._ids[np.arange(upto[-1], dtype=np.int32) + np.repeat(shift, lengths)]
         if len(self._known) > REMEMBERED:
             self._forget()
-        return ids, np.diff(upto[bounds - bounds[0]])
+        return ids, np.diff(upto[bounds + np.arange(len(bounds))])
 
     def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the parts and how many each has: some hundred parts in one text at a time."""
@@ -127,7 +131,7 @@ class Encoder:
         return np.concatenate(ids), np.concatenate(counts)
 
 
-def _write_shards(folder: str, encoder: Callable[[], Encoder]):
+def _write_shards(folder: str, width: int, encoder: Callable[[], Encoder]):
     """Encode sorted documents into shards; a row for each shard with its documents."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,10 +171,10 @@ def _write_shards(folder: str, encoder: Callable[[], Encoder]):
                     # Named for this attempt: what a lost one leaves is never read.
                     name = f"{part:05d}-{shard:05d}-{uuid.uuid4().hex}.bin"
                     sink = system.open_output_stream(f"{place}/{name}")
-                sink.write(memoryview(np.ascontiguousarray(ids, "<u4")).cast("B"))
+                sink.write(memoryview(ids.astype(f"<u{width}")).cast("B"))
                 rows.append((own, number, size + np.cumsum(counts) - counts, counts))
                 size += len(ids)
-                if size * 4 >= SHARD_BYTES or sum(len(x[0]) for x in rows) >= SHARD_DOCS:
+                if size * width >= SHARD_BYTES or sum(len(x[0]) for x in rows) >= SHARD_DOCS:
                     sink.close()
                     yield row()
                     sink, rows, size, shard = None, [], 0, shard + 1
@@ -299,10 +303,12 @@ def _read(folder: str):
         table = table.sort_by("offset")
         system, place = _place(folder)
         with system.open_input_file(f"{place}/{table['file'][0].as_py()}") as file:
-            ids = [
-                file.read_at(4 * n, 4 * at)
+            width = table["width"][0].as_py()
+            raw = [
+                file.read_at(width * n, width * at)
                 for at, n in zip(table["offset"].to_pylist(), table["n"].to_pylist())
             ]
+            ids = [np.frombuffer(x, f"<u{width}").astype("<u4").tobytes() for x in raw]
         return pa.table(
             {
                 "doc_id": table["doc_id"], "copy": table["copy"],
@@ -332,21 +338,23 @@ def write_store(
     same doc_id are numbered as copies 0, 1, ... by hash of their text, then text, and each is
     found by (doc_id, copy). Other columns are ignored. An empty table gives an empty store.
 
-    Texts are dealt by range of (doc_id, hash of text), so a doc_id with very many rows is
-    cut as well. What the driver sees is one row for each of these ranges.
+    Texts are dealt by range of (doc_id, hash of text), about ``TASK_BYTES`` to a task, so a
+    doc_id with very many rows is cut as well. What the driver sees is one row for each of these ranges.
     """
     spark = docs.sparkSession
     path = path or scratch(spark, "token-store")
     for folder in ("ids", "index"):
         system, place = _place(f"{path}/{folder}")
         system.create_dir(place, recursive=True)
+    width = Encoder(tokenizer, end_id, apart).width
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     hashed = F.xxhash64("text")
     files = materialise(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id", hashed)
+        .repartitionByRange(min(MOST_PARTITIONS, -(-size // TASK_BYTES) or 1), "doc_id", hashed)
         .sortWithinPartitions("doc_id", hashed, "text")
         .mapInArrow(
-            _write_shards(f"{path}/ids", lambda: Encoder(tokenizer, end_id, apart)),
+            _write_shards(f"{path}/ids", width, lambda: Encoder(tokenizer, end_id, apart)),
             "part int, shard long, file string, n_ids long, "
             "docs array<struct<doc_id long, copy long, offset long, n long>>",
         )
@@ -374,7 +382,7 @@ def write_store(
         known, "part"
     ).select(
         "shard", "file", (F.col("_start") + F.sum("n_ids").over(inside) - F.col("n_ids")).alias("start"),
-        "n_ids", "n_docs",
+        "n_ids", "n_docs", F.lit(width).alias("width"),
     ).write.parquet(f"{path}/shards")
     count = files.agg(F.coalesce(F.sum(F.size("docs")), F.lit(0))).first()[0]
     buckets = max(1, -(-count // BUCKET_KEYS))
@@ -399,7 +407,7 @@ def lookup(store: TokenStore, keys: DataFrame) -> DataFrame:
     """Documents by key: (doc_id, copy, start, n_tokens, ids) for ``keys`` (doc_id[, copy]).
 
     Copy is 0 where there is no such column. ``start`` counts the ids of all documents
-    before, ``ids`` are the raw bytes. Repeated keys are asked once; keys that the store
+    before, ``ids`` are bytes, four for each id, little-endian. Repeated keys are asked once; keys that the store
     does not hold have no row, but for one in 2^32, which the fingerprint cannot tell.
 
     Keys go to the files of their buckets, at most ``BUCKET_KEYS`` or so at a time, and what
@@ -422,7 +430,7 @@ def lookup(store: TokenStore, keys: DataFrame) -> DataFrame:
         .applyInArrow(_find(f"{store.path}/index"), "doc_id long, copy long, shard long, offset long, n long")
     )
     return (
-        found.join(store.shards.select("shard", "file", F.col("start").alias("first")), "shard")
+        found.join(store.shards.select("shard", "file", "width", F.col("start").alias("first")), "shard")
         .groupBy("shard")
         .applyInArrow(
             _read(f"{store.path}/ids"), "doc_id long, copy long, start long, n_tokens long, ids binary"
