@@ -2,42 +2,97 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from blotter.session import materialise
 
+#: Links looked at together inside a task.
+BATCH_LINKS = 1 << 16
+
+
+def spanning(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
+    """Places of links (pairs of numbers below ``nodes``) that form a spanning forest."""
+    root = list(range(nodes))
+    kept = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def forest(links: DataFrame) -> DataFrame:
+    """``links`` (a, b) with the same components: of every ``BATCH_LINKS`` that a task reads
+    together, those of a spanning forest, so fewer than the nodes among them."""
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= BATCH_LINKS:
+                held = [_thinned(held)]
+                if held[0].num_rows >= BATCH_LINKS // 2:
+                    yield held.pop()
+        if held:
+            yield _thinned(held)
+
+    return links.select("a", "b").mapInArrow(thin, links.select("a", "b").schema)
+
+
+def _thinned(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(held).combine_chunks()
+    ends = pa.concat_arrays([c for x in "ab" for c in table[x].chunks]).dictionary_encode()
+    code = ends.indices.to_numpy()
+    kept = spanning(code[: len(table)], code[len(table) :], len(ends.dictionary))
+    return table.take(pa.array(kept)).combine_chunks().to_batches()[0] if len(kept) else held[0].slice(0, 0)
+
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b) -> (node, label): the smallest node of each node's component.
 
-    Every round takes the smallest label among the neighbours and then the label of that
-    label, so paths halve; it ends when nothing changes. A node with very many neighbours
-    weighs one value a task, as minima are taken before the shuffle, and its links can be
-    split in the join. Nodes without links, and links to itself, are not in the result.
+    Links are thinned to forests inside the tasks first. Every round ranks the nodes by a
+    hash of its own, hooks each to the lowest of its neighbours and then to that one's,
+    where these are lower, and puts these names in place of the nodes. Links inside one
+    name are dropped, so the graph shrinks by a share from round to round, whatever its
+    shape, until no link is left; the rounds' tables are then read backwards. A node with very
+    many neighbours weighs one value a task, as minima are taken before the shuffle, and
+    its links can be split in the joins. Nodes without links, and links to itself, are not
+    in the result.
     """
-    edges = materialise(
-        links.where("a != b").select("a", "b").unionByName(links.where("a != b").select(
-            F.col("b").alias("a"), F.col("a").alias("b")
-        )).distinct()
-    )
-    labels = materialise(
-        edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-        .select("node", F.least("node", "label").alias("label"))
-    )
-    while True:
-        near = (
-            edges.join(labels, edges["b"] == labels["node"])
-            .groupBy("a").agg(F.min("label").alias("near"))
+    edges = materialise(forest(links.where("a != b")))
+    steps: list[DataFrame] = []
+    while not edges.isEmpty():
+        rank = lambda c, n=len(steps): F.xxhash64(c, F.lit(n))
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooked = materialise(
+            both.groupBy(F.col("a").alias("node"))
+            .agg(F.min(F.struct(rank("b").alias("rank"), F.col("b").alias("low"))).alias("_low"))
+            .select("node", F.when(F.col("_low.rank") < rank("node"), F.col("_low.low")).otherwise(F.col("node")).alias("label"))
         )
-        lower = labels.join(near, labels["node"] == near["a"]).select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
+        above = hooked.select(F.col("node").alias("up"), F.col("label").alias("higher"))
+        step = materialise(
+            hooked.join(above, hooked["label"] == above["up"]).select("node", F.col("higher").alias("label"))
         )
-        above = labels.select(F.col("node").alias("up"), F.col("label").alias("higher"))
-        moved = materialise(
-            lower.join(above, lower["label"] == above["up"]).select(
-                "node", "old", F.least("label", "higher").alias("label")
-            )
+        steps.append(step)
+        for end in ("a", "b"):
+            edges = edges.join(step.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
+        edges = materialise(forest(edges.where("a != b").distinct()))
+    if not steps:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
+    labels = steps.pop()
+    for step in reversed(steps):
+        last = labels.select(F.col("node").alias("label"), F.col("label").alias("_last"))
+        labels = materialise(
+            step.join(last, "label", "left").select("node", F.coalesce("_last", "label").alias("label"))
         )
-        labels = moved.select("node", "label")
-        if moved.where("old != label").isEmpty():
-            return labels
+    least = labels.groupBy("label").agg(F.min("node").alias("_least"))
+    return labels.join(least, "label").select("node", F.col("_least").alias("label"))

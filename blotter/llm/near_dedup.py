@@ -25,8 +25,12 @@ BOUND = 1 + float(np.log10(50))
 #: are sampled with bounded weights too. For others a bounded similarity of 0.8 is an
 #: unbounded one of 0.75 at least, which the bands miss once in 400.
 LIGHT = 0.8
-#: Nodes that are compared in one task; larger groups are cut into blocks of so many.
+#: Nodes that are compared in one task; larger groups are cut into blocks of so many, and
+#: each block meets about as many other nodes of the group as PIVOTS.
 BLOCK = 512
+PIVOTS = 8
+#: Nodes with the same first hub that one task thins links for.
+DEALT = 4096
 RUN_BYTES = 1 << 16
 _KEY = np.uint64(0xFFFFFFFFFFFF0000)
 
@@ -237,7 +241,7 @@ def _vectors(size: int, documents: int):
                     bands = np.array(want["bands"], np.int64).tobytes()
                     counts = squeeze(times[a:b])
                     own = want["node"], bands, hashes[a:b].tobytes(), weights.tobytes(), counts
-                    out += [(g["name"], g["side"], g["band"], *own) for g in want["groups"]]
+                    out += [(g["name"], g["side"], g["band"], g["label"], *own) for g in want["groups"]]
                     weight += 12 * (b - a) * len(want["groups"])
                     if weight > 32 * RUN_BYTES:
                         yield _as_batch(out)
@@ -248,17 +252,17 @@ def _vectors(size: int, documents: int):
 
 
 _VECTORS = (
-    "name binary, side int, band int, node binary, bands binary, hashes binary, weights binary, "
-    "times binary"
+    "name binary, side int, band int, label binary, node binary, bands binary, hashes binary, "
+    "weights binary, times binary"
 )
 
 
 def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [[]] * 8
-    kinds = [pa.binary(), pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    columns = list(zip(*rows)) or [[]] * 9
+    kinds = [pa.binary(), pa.int32(), pa.int32(), *[pa.binary()] * 6]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)],
-        names=["name", "side", "band", "node", "bands", "hashes", "weights", "times"],
+        names=["name", "side", "band", "label", "node", "bands", "hashes", "weights", "times"],
     )
 
 
@@ -266,9 +270,9 @@ def _link(least: float):
     """Links that join the nodes of a group: pairs with an equal band and the similarity,
     with weights as they are or bounded.
 
-    A pair that is joined already, by other links, is not compared again, and one that
-    meets in several buckets is compared in the first of them. Each node is compared with
-    all its open partners at once.
+    Nodes of one label are joined from the start. A pair that is joined already is not
+    compared again, nor are two visitors (side 1), and one that meets in several buckets is
+    compared in the first of them. Each node is compared with all its open partners at once.
     """
 
     def link(frame: pd.DataFrame) -> pd.DataFrame:
@@ -292,8 +296,8 @@ def _link(least: float):
         lower_sums = np.add.reduceat(lower, starts[:-1], dtype=np.float64)
         ways = [(vectors, weights, sums), (soft, lower, lower_sums)][: 1 + (lower < weights).any()]
         mine = np.zeros(len(elements), np.float32)
-        band, crossed = int(frame["band"].iloc[0]), side[0] != side[-1]
-        root = np.arange(n)
+        band = int(frame["band"].iloc[0])
+        root = np.unique(frame["label"].to_numpy(), return_inverse=True)[1]
         found = []
 
         def similar(a: int, partners: np.ndarray, sets: list[tuple], values: np.ndarray, whole: np.ndarray):
@@ -311,8 +315,8 @@ def _link(least: float):
                 open_ = equal.any(axis=1)
             else:
                 open_ = equal[:, band] & ~equal[:, :band].any(axis=1)
-            if crossed:
-                open_ &= side[a + 1 :] != side[a]
+            if side[a]:
+                break
             open_ &= root[a + 1 :] != root[a]
             alike = np.zeros(n)
             for sets, values, whole in ways:
@@ -331,38 +335,109 @@ def _link(least: float):
     return link
 
 
-def _groups(entries: DataFrame, block: int) -> DataFrame:
-    """The groups in which nodes are compared: rows (node, name, side, band).
-
-    ``entries`` are the bands of all nodes, (node, k, band). Nodes that are connected by
-    equal bands are one group, if there are at most ``block`` of them. Larger ones are
-    compared bucket by bucket, and a bucket of more than ``block`` nodes in pairs of
-    blocks, so that every pair with an equal band meets in some group.
-    """
+def _buckets(entries: DataFrame) -> DataFrame:
+    """``entries`` (node, k, band) that share their band with others: size and hub of each."""
     hubs = (
         entries.groupBy("k", "band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
         .where("size > 1")
     )
-    buckets = materialise(entries.join(hubs, ["k", "band"]))
-    labels = components(buckets.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    return materialise(entries.join(hubs, ["k", "band"]))
+
+
+def _connected(buckets: DataFrame) -> DataFrame:
+    """Nodes that equal bands connect: (node, label, n), n nodes in all to a label.
+
+    A node's links to the hubs of its buckets, one for each band at most, lie together,
+    and the links of nodes with the same first hub, ``DEALT`` nodes of them at most, meet in
+    one task, which keeps a forest of them.
+    """
+    stars = materialise(
+        buckets.groupBy("node").agg(F.collect_set("hub").alias("hubs"), F.min("hub").alias("first"))
+    )
+    sizes = stars.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / DEALT).cast("int").alias("slices"))
+    dealt = stars.join(sizes, "first").repartition(
+        "first", F.pmod(F.xxhash64("node"), F.col("slices")).alias("slice")
+    )
+    labels = components(dealt.select(F.explode("hubs").alias("a"), F.col("node").alias("b")))
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    named = materialise(labels.join(sizes, "label"))
-    whole = named.where(F.col("n") <= block).select(
-        "node", F.concat(F.lit(b"w"), F.col("label")).alias("name"),
-        F.lit(0).alias("side"), F.lit(-1).alias("band"),
+    return materialise(labels.join(sizes, "label"))
+
+
+def _groups(connected: DataFrame, block: int) -> DataFrame:
+    """The groups in which nodes are compared first: rows (node, name, side, band, label).
+
+    Up to ``block`` connected nodes are one group. More are cut into blocks, which about
+    ``PIVOTS`` nodes of them visit, so that most of a family is joined by links to these.
+    """
+    slices = F.ceil(F.col("n") / block).cast("int")
+    pivot = (F.col("node") == F.col("label")) | (F.pmod(F.xxhash64("node"), F.col("n")) < PIVOTS - 1)
+    own = F.pmod(F.xxhash64("label", "node"), slices).cast("int")
+    every = F.sequence(F.lit(0), slices - 1)
+    return (
+        connected.withColumn("_own", own)
+        .withColumn("_slice", F.explode(F.when(pivot, every).otherwise(F.array("_own"))))
+        .select(
+            "node", F.concat_ws(":", F.hex("label"), "_slice").cast("binary").alias("name"),
+            (F.col("_slice") != F.col("_own")).cast("int").alias("side"), F.lit(-1).alias("band"),
+            F.col("node").alias("label"),
+        )
+    )
+
+
+def _open_groups(buckets: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """The groups in which what the first links left apart is compared, bucket by bucket.
+
+    ``labels`` (node, label) are the nodes of large groups with the components they have
+    so far. A bucket whose nodes are all of one component has nothing left to compare. In
+    the others every two nodes of different components meet: the bucket is cut into blocks
+    of ``block`` nodes, and those outside its largest component visit all its blocks.
+    """
+    members = buckets.select("node", "k", "band").join(labels, "node")
+    parts = members.groupBy("k", "band", "label").agg(F.count(F.lit(1)).alias("rows"))
+    several = (
+        parts.groupBy("k", "band")
+        .agg(
+            F.count(F.lit(1)).alias("labels"), F.sum("rows").alias("size"),
+            F.max_by("label", F.struct("rows", "label")).alias("largest"),
+        )
+        .where("labels > 1")
     )
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    parted = (
-        buckets.join(named.where(F.col("n") > block).select("node"), "node")
-        .withColumn("_blocks", blocks)
-        .withColumn("side", F.pmod(F.xxhash64("band", "node"), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    slices = F.ceil(F.col("size") / block).cast("int")
+    own = F.pmod(F.xxhash64("band", "node"), slices).cast("int")
+    every = F.sequence(F.lit(0), slices - 1)
+    visits = F.when(F.col("label") != F.col("largest"), every).otherwise(F.array("_own"))
+    return (
+        members.join(several, ["k", "band"])
+        .withColumn("_own", own)
+        .withColumn("_slice", F.explode(visits))
+        .select(
+            "node", F.concat_ws(":", "k", "band", "_slice").cast("binary").alias("name"),
+            (F.col("_slice") != F.col("_own")).cast("int").alias("side"), F.col("k").alias("band"),
+            "label",
+        )
     )
-    name = F.concat_ws(
-        ":", F.lit("b"), "k", "band", F.least("side", "_other"), F.greatest("side", "_other")
+
+
+def _compared(
+    groups: DataFrame, texts: DataFrame, chunks: DataFrame, shingle: int, documents: int, similarity: float
+) -> DataFrame:
+    """The links (a, b, similarity) that comparisons within the groups find."""
+    asked = materialise(
+        groups
+        .groupBy("node").agg(F.collect_list(F.struct("name", "side", "band", "label")).alias("groups"))
+        .join(texts, "node")
+        .groupBy("chunk")
+        .agg(
+            F.sum(F.octet_length("held") + 256 + 96 * F.size("groups")).alias("bytes"),
+            F.collect_list(F.struct("pos", "node", "bands", "groups", "held")).alias("asked"),
+        )
     )
-    return whole.unionByName(
-        parted.select("node", name.cast("binary").alias("name"), "side", F.col("k").alias("band"))
+    return materialise(
+        attach(chunks.select("chunk", "data"), asked)
+        .select("asked", "data")
+        .mapInArrow(_vectors(shingle, documents), _VECTORS)
+        .groupBy("name")
+        .applyInPandas(_link(similarity), "a binary, b binary, similarity double")
     )
 
 
@@ -384,10 +459,13 @@ def near_duplicates(
     if they are with no weight above that of a shingle in one of 50 documents, which is the
     same for fewer than 100 documents; texts of common shingles get as many samples by these
     bounded weights. Nodes that candidates connect meet in
-    one task, or bucket by bucket in pairs of blocks where they are more than ``block``;
-    there every two nodes with an equal band that other links do not join yet are compared
-    on the exact weighted Jaccard similarity, both ways. So no candidate link between different
-    texts is lost, no pairs are written out, and a text travels once for each group.
+    one task, where every two nodes with an equal band that other links do not join yet are
+    compared on the exact weighted Jaccard similarity, both ways. More than ``block`` of them
+    meet in blocks first, each with a few common nodes, which joins a family of near copies at
+    the cost of one journey a text; then, bucket by bucket, those that still are in different
+    components. So no candidate link between different texts is lost and no pairs are written
+    out. What remains quadratic, in a bucket beyond ``block``, is a large number of texts that are
+    not alike, as each of these visits all blocks of the bucket.
 
     The first frame has a row for each document: chunk, pos (its place in the second), doc_id,
     class_id (smallest doc_id of its component), class_size, copies (documents with the
@@ -413,25 +491,18 @@ def near_duplicates(
         .agg(F.min(F.struct("chunk", "pos", "bands", "held")).alias("_t"))
         .select("node", "_t.*")
     )
-    entries = texts.select("node", F.posexplode("bands").alias("k", "band"))
-    asked = materialise(
-        _groups(entries, block)
-        .groupBy("node").agg(F.collect_list(F.struct("name", "side", "band")).alias("groups"))
-        .join(texts, "node")
-        .groupBy("chunk")
-        .agg(
-            F.sum(F.octet_length("held") + 256 + 64 * F.size("groups")).alias("bytes"),
-            F.collect_list(F.struct("pos", "node", "bands", "groups", "held")).alias("asked"),
+    buckets = _buckets(texts.select("node", F.posexplode("bands").alias("k", "band")))
+    connected = _connected(buckets)
+    links = _compared(_groups(connected, block), texts, chunks, shingle, documents, similarity)
+    labels = components(links)
+    large = connected.where(F.col("n") > block).select("node")
+    if not large.isEmpty():
+        so_far = materialise(
+            large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         )
-    )
-    links = (
-        attach(chunks.select("chunk", "data"), asked)
-        .select("asked", "data")
-        .mapInArrow(_vectors(shingle, documents), _VECTORS)
-        .groupBy("name")
-        .applyInPandas(_link(similarity), "a binary, b binary, similarity double")
-    )
-    labels = components(materialise(links))
+        more = _open_groups(buckets, so_far, block)
+        links = links.unionByName(_compared(more, texts, chunks, shingle, documents, similarity))
+        labels = components(links)
     nodes = marks.groupBy("node").agg(
         F.min(first).alias("_first"), F.count(F.lit(1)).alias("copies")
     )

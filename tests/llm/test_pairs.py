@@ -299,3 +299,36 @@ def test_copies_are_counted_as_near(spark, tmp_path, make, prose):
     make(rows).write.parquet(f"{tmp_path}/documents.parquet")
     near = {r["doc_id"]: r["n_near"] for r in op5_fingerprints(spark, str(tmp_path)).collect()}
     assert near == {100: 1, 101: None, 102: None, 200: 0}
+
+
+def test_a_large_family_travels_once(spark):
+    """Texts sent for comparison grow with a family, not with its square."""
+    sent = {}
+    for n in (200, 400, 800):
+        nodes = [bytes([i >> 8, i & 255]) for i in range(n)]
+        rng = random.Random(n)
+        entries = [(x, k, k if rng.random() < 0.7 else rng.randrange(10**9)) for x in nodes for k in range(16)]
+        buckets = near_dedup._buckets(spark.createDataFrame(entries, "node binary, k int, band long"))
+        connected = near_dedup._connected(buckets)
+        assert connected.select("label").distinct().count() == 1 and connected.count() == n
+        groups = near_dedup._groups(connected, 10)
+        sizes = [r["count"] for r in groups.groupBy("name").count().collect()]
+        sent[n] = sum(sizes)
+        assert groups.where("side = 0").count() == n and max(sizes) < 60
+        whole = connected.select("node", "label")
+        assert near_dedup._open_groups(buckets, whole, 10).count() == 0
+        # One node left over meets every other node of its buckets, and these do not meet again.
+        last = F.when(F.col("node") == nodes[-1], F.col("node")).otherwise(F.col("label"))
+        apart = near_dedup._open_groups(buckets, whole.withColumn("label", last), 10)
+        assert n < apart.count() < 16 * n * 1.2
+    # Some eight visitors to each ten nodes.
+    assert all(n < sent[n] < 4 * n for n in sent)
+
+
+def test_forests_keep_components_and_few_links(spark):
+    from blotter.llm.components import forest
+
+    links = [(i, j) for i in range(60) for j in range(i + 1, 60)] + [(100, 101)]
+    kept = forest(spark.createDataFrame(links, "a long, b long").coalesce(1))
+    assert kept.count() == 60
+    assert forest(spark.createDataFrame([], "a long, b long")).count() == 0
