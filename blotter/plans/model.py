@@ -6,6 +6,7 @@ import random
 import time
 import uuid
 from dataclasses import dataclass
+from hashlib import md5
 from itertools import product
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -17,6 +18,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter import schemas
+from blotter.plans import boosting
 from blotter.functions.clock import cyclic_features, hour_of, parse_date, time_features
 from blotter.operators.encoding import label_decode, label_encode, ordinal_encode, vocabulary
 from blotter.operators.filters import check_request, require
@@ -36,6 +38,7 @@ FOREST_GRID = {
 }
 BOOSTED_DEFAULTS = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8}
 FOREST_DEFAULTS = {"numTrees": 100, "maxDepth": 8}
+Fitted = Model | dict[int, GBTClassificationModel] | boosting.Softmax
 
 
 @dataclass(frozen=True)
@@ -50,7 +53,7 @@ class Vocabularies:
 class Classifier:
     """A fitted model with the vocabularies it was fitted on."""
 
-    model: Model | dict[int, GBTClassificationModel]
+    model: Fitted
     vocabularies: Vocabularies
 
 
@@ -96,8 +99,11 @@ def _forest(params: dict) -> RandomForestClassifier:
     )
 
 
-def train(rows: DataFrame, kind: str = "forest", **params) -> Model | dict[int, GBTClassificationModel]:
-    """A model giving a probability per label: one forest, or one boosted model per label."""
+def train(rows: DataFrame, kind: str = "forest", **params) -> Fitted:
+    """A model giving a probability per label: one forest, one boosted model per label, or
+    trees boosted for all labels together ("softmax", with the names of ``boosting.Params``)."""
+    if kind == "softmax":
+        return boosting.fit(rows, label_count(rows), boosting.Params(**params))
     if kind == "forest":
         return Pipeline(stages=[_assembler(), _forest({**FOREST_DEFAULTS, **params})]).fit(rows)
     ready = _assembler().transform(rows).select("features", "y").persist()
@@ -115,6 +121,28 @@ def train(rows: DataFrame, kind: str = "forest", **params) -> Model | dict[int,
         ready.unpersist()
 
 
+def label_count(rows: DataFrame) -> int:
+    """One more than the highest label code."""
+    return int(rows.agg(F.max("y")).first()[0]) + 1
+
+
+def hashed_draws(
+    grid: dict[str, list] = boosting.SOFTMAX_GRID, n: int = 12, seed: int = schemas.SEED
+) -> list[boosting.Params]:
+    """``n`` different combinations of the grid: those with the lowest md5 of seed and values."""
+    combinations = [dict(zip(grid, values)) for values in product(*grid.values())]
+    digest = lambda c: md5("|".join(map(str, [seed, *c.values()])).encode()).hexdigest()
+    return [boosting.Params(**c) for c in sorted(combinations, key=digest)[:n]]
+
+
+def search_softmax(
+    rows: DataFrame, n: int = 12, folds: int = 3, grid: dict[str, list] = boosting.SOFTMAX_GRID
+) -> tuple[boosting.Softmax, list[tuple[boosting.Params, float]]]:
+    """The best of ``n`` draws of jointly boosted trees, refitted on all rows, and every
+    draw's accuracy on the folds held out; all draws and folds grow in the same passes."""
+    return boosting.search(rows, label_count(rows), hashed_draws(grid, n), folds)
+
+
 def draw_params(grid: dict[str, list], n: int = 12, seed: int = schemas.SEED) -> list[dict]:
     """``n`` different combinations of the grid, drawn with a seed."""
     combinations = [dict(zip(grid, values)) for values in product(*grid.values())]
@@ -147,8 +175,10 @@ def search_params(
     return fitted.bestModel, list(zip(draws, fitted.avgMetrics))
 
 
-def predict_codes(model: Model | dict[int, GBTClassificationModel], rows: DataFrame) -> DataFrame:
+def predict_codes(model: Fitted, rows: DataFrame) -> DataFrame:
     """Add ``code`` and ``probability`` of the likeliest label."""
+    if isinstance(model, boosting.Softmax):
+        return boosting.predict(model, rows)
     if not isinstance(model, dict):
         scored = model.transform(rows)
         best = F.array_max(vector_to_array("probability"))
@@ -211,14 +241,17 @@ def save_model(classifier: Classifier, path: str) -> None:
     """
     at = time.time_ns()
     root, path = path, f"{path}/version-{at}-{uuid.uuid4().hex[:8]}"
-    if isinstance(classifier.model, dict):
+    spark = classifier.vocabularies.labels.sparkSession
+    codes: list[tuple[int]] = []
+    if isinstance(classifier.model, boosting.Softmax):
+        boosting.save_cuts(spark, classifier.model, f"{path}/softmax")
+        boosting.save_rounds(spark, classifier.model, 0, f"{path}/softmax/rounds/first")
+    elif isinstance(classifier.model, dict):
         for code, one in classifier.model.items():
             one.write().overwrite().save(f"{path}/boosted/{code}")
         codes = [(int(code),) for code in classifier.model]
     else:
         classifier.model.write().overwrite().save(f"{path}/forest")
-        codes = []
-    spark = classifier.vocabularies.labels.sparkSession
     spark.createDataFrame(codes, "code int").write.mode("overwrite").parquet(f"{path}/codes")
     classifier.vocabularies.labels.write.mode("overwrite").parquet(f"{path}/labels")
     for column, vocab in classifier.vocabularies.categories.items():
@@ -227,13 +260,21 @@ def save_model(classifier: Classifier, path: str) -> None:
     named.coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
 
-def load_model(spark: SparkSession, path: str) -> Classifier:
-    """The newest version that ``save_model`` wrote."""
+def newest_version(spark: SparkSession, path: str) -> str:
+    """The folder of the newest version that ``save_model`` wrote."""
     newest = spark.read.parquet(f"{path}/versions").agg(F.max_by("folder", "at")).first()[0]
-    path = f"{path}/{newest}"
+    return f"{path}/{newest}"
+
+
+def load_model(spark: SparkSession, path: str) -> Classifier:
+    """The newest version that ``save_model`` wrote, with the rounds added to it since."""
+    path = newest_version(spark, path)
     codes = sorted(row.code for row in spark.read.parquet(f"{path}/codes").collect())
-    model: Model | dict[int, GBTClassificationModel]
-    if codes:
+    model: Fitted
+    if exists(spark, Table("parquet", f"{path}/softmax/cuts")):
+        folders = [f"{path}/softmax/rounds/first", *added_rounds(spark, path)]
+        model = boosting.load(spark, f"{path}/softmax", folders)
+    elif codes:
         model = {c: GBTClassificationModel.load(f"{path}/boosted/{c}") for c in codes}
     else:
         model = PipelineModel.load(f"{path}/forest")
@@ -244,6 +285,39 @@ def load_model(spark: SparkSession, path: str) -> Classifier:
     return Classifier(model, vocabularies)
 
 
+def added_rounds(spark: SparkSession, version: str) -> list[str]:
+    """The folders of rounds that were added to a version and logged, in their order."""
+    log = f"{version}/softmax/log"
+    if not exists(spark, Table("parquet", log)):
+        return []
+    logged = spark.read.schema("batch long, folder string").parquet(log).orderBy("batch").collect()
+    return [f"{version}/softmax/rounds/{r['folder']}" for r in logged]
+
+
+def continue_model(
+    version: str, rows: DataFrame, batch: int, params: boosting.Params
+) -> boosting.Softmax:
+    """Add ``params.rounds`` rounds, fitted to ``rows`` alone, to the stored version.
+
+    The new trees go to a folder named for the batch, and only a log entry of the batch,
+    written last and in one piece, makes them part of the model. A batch that comes again
+    finds its entry and changes nothing, or, if the entry was never written, writes the same
+    folder again. Stored trees are never rewritten. One writer may continue a version.
+    """
+    spark = rows.sparkSession
+    known = added_rounds(spark, version)
+    folder = f"batch-{batch:09d}"
+    path = f"{version}/softmax"
+    stored = boosting.load(spark, path, [f"{path}/rounds/first", *known])
+    if f"{path}/rounds/{folder}" in known:
+        return stored
+    more = boosting.extend(stored, rows, params)
+    boosting.save_rounds(spark, more, len(stored.rounds), f"{path}/rounds/{folder}")
+    entry = spark.createDataFrame([(batch, folder)], "batch long, folder string").coalesce(1)
+    entry.write.mode("append").parquet(f"{path}/log")
+    return more
+
+
 def evaluate(classifier: Classifier, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accuracy and report over labelled feature rows."""
     scored = label_decode(

@@ -12,7 +12,7 @@ from blotter.functions.messages import decode_value, flatten
 from blotter.operators.keys import insert_if_absent
 from blotter.operators.labels import known_label
 from blotter.operators.metrics import token_counts
-from blotter.plans import model
+from blotter.plans import boosting, model
 from blotter.plans.ingest import acknowledge_into, ingest_into, unique_records
 from blotter.plans.release import release_counted
 from blotter.plans.requests import serve_requests
@@ -156,7 +156,7 @@ def refit_stream(
     """Collect usable training records and refit once ``every`` new ones have come.
 
     Trees cannot continue from a fitted forest, so the model is refitted on the whole
-    training table. ``fitted`` logs the table size and batch of each fit, and each model
+    training table; ``continue_stream`` goes on from a boosted one instead. ``fitted`` logs the table size and batch of each fit, and each model
     has a folder of its own, so nobody reads one that is being replaced.
     """
 
@@ -183,6 +183,32 @@ def refit_stream(
     return run_batches(stream, step, checkpoint, trigger)
 
 
+def continue_stream(
+    stream: DataFrame,
+    version: str,
+    vocabularies: model.Vocabularies,
+    checkpoint: str,
+    trigger: dict | None = None,
+    params: boosting.Params = boosting.Params(rounds=1),
+) -> StreamingQuery:
+    """Go on boosting a stored version with the usable records of each micro-batch.
+
+    Every batch adds ``params.rounds`` rounds of trees, fitted to what the model so far
+    leaves open on the batch. Earlier trees are read but never written, and no earlier
+    record is read, so a batch costs what its records cost. A batch without usable
+    records, or one that was logged before, adds nothing.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        flat = flatten(decode_value(batch), schemas.INCIDENTS, schemas.INCIDENT_KEY)
+        records = unique_records(flat, schemas.INCIDENTS, schemas.INCIDENT_KEY)
+        rows = materialise(model.training_rows(model.clean(records), vocabularies))
+        if not rows.isEmpty():
+            model.continue_model(version, rows, number, params)
+
+    return run_batches(stream, step, checkpoint, trigger)
+
+
 def refitted_model(spark: SparkSession, fitted: Table, model_path: str) -> model.Classifier:
     """The model of the newest fit."""
     newest = read_table(spark, fitted).agg(F.max("batch")).first()[0]

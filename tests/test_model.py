@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from blotter import schemas
-from blotter.plans import forecast, model
+from blotter.plans import boosting, forecast, model
 from blotter.sources.tables import Table, append, read_table
 
 LABELS = ["ARSON", "FRAUD", "THEFT"]
@@ -30,10 +31,13 @@ def rows(spark):
     )
 
 
-@pytest.fixture(scope="module", params=["forest", "boosted"])
+@pytest.fixture(scope="module", params=["forest", "boosted", "softmax"])
 def fitted(request, rows):
     prepared, vocabularies = model.prepare(rows, ["cmplnt_num"], k=3)
-    params = {"numTrees": 5, "maxDepth": 4} if request.param == "forest" else {"maxIter": 2, "maxDepth": 3}
+    params = {
+        "forest": {"numTrees": 5, "maxDepth": 4}, "boosted": {"maxIter": 2, "maxDepth": 3},
+        "softmax": {"rounds": 3, "depth": 3, "rate": 0.5},
+    }[request.param]
     trained = model.train(prepared.where("not is_test"), request.param, **params)
     return model.Classifier(trained, vocabularies), prepared
 
@@ -113,3 +117,106 @@ def test_a_stored_model_is_kept(rows, tmp_path, monkeypatch):
     again, right, _ = model.train_all(rows, ["cmplnt_num"], path, 3, 1, 2, grid, keep=True)
     assert again.model.stages[-1].getNumTrees == first.model.stages[-1].getNumTrees == 2
     assert right.first().accuracy > 0
+
+
+def plain_tree(x, pull, slope, cuts, depth, how, node=0):
+    """A tree grown by looking at every cut: {node: (feature, cut, value)}."""
+    value = -how.rate * pull.sum() / (slope.sum() + how.l2)
+    best = (1e-9, None, None)
+    if depth:
+        for f, own in enumerate(cuts):
+            for cut in own:
+                left = x[:, f] <= cut
+                a, b = slope[left].sum(), slope[~left].sum()
+                if a < how.weight or b < how.weight:
+                    continue
+                gain = pull[left].sum() ** 2 / (a + how.l2) + pull[~left].sum() ** 2 / (b + how.l2)
+                gain -= pull.sum() ** 2 / (slope.sum() + how.l2)
+                if gain > best[0] + 1e-9:
+                    best = (gain, f, cut)
+    _, f, cut = best
+    if f is None:
+        return {node: (-1, value)}
+    left = x[:, f] <= cut
+    grown = {node: (f, cut)}
+    for side, child in ((left, 2 * node + 1), (~left, 2 * node + 2)):
+        grown |= plain_tree(x[side], pull[side], slope[side], cuts, depth - 1, how, child)
+    return grown
+
+
+def test_softmax_trees_equal_a_plain_version(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.random((300, 2)), 2)
+    y = (x[:, 0] > 0.6) + (x[:, 0] + x[:, 1] > 1.2) * 1
+    rows = spark.createDataFrame(
+        [(str(i), float(y[i]), *map(float, x[i])) for i in range(300)], "cmplnt_num string, y double, a double, b double"
+    )
+    how = boosting.Params(rounds=2, depth=3, rate=0.4, rows=1.0)
+    cuts = [np.arange(0.1, 1, 0.1), np.array([0.25, 0.5, 0.75])]
+    base = boosting.Softmax(3, cuts)
+    fitted = boosting.extend(base, rows.repartition(3), how, ["a", "b"])
+    margins = np.zeros((300, 3))
+    for trees in fitted.rounds:
+        chance = boosting._probabilities(margins)
+        for label, tree in enumerate(trees):
+            p = chance[:, label]
+            unit = 1 << 20
+            pull, slope = np.rint((p - (y == label)) * unit) / unit, np.rint(np.maximum(p * (1 - p), 1e-6) * unit) / unit
+            plain = plain_tree(x, pull, slope, cuts, 3, how)
+            leaf = tree.leaf(x)
+            for node, (f, cut) in plain.items():
+                assert tree.feature[node] == f
+                assert (tree.cut if f >= 0 else tree.value)[node] == pytest.approx(cut)
+            margins[:, label] += tree.value[leaf]
+    again = boosting.extend(base, rows.repartition(7), how, ["a", "b"])
+    assert all((s.value == t.value).all() for a, b in zip(fitted.rounds, again.rounds) for s, t in zip(a, b))
+
+
+def test_a_search_hides_its_folds(spark, rows):
+    """A label that follows from the key alone cannot be learned beyond chance on other rows."""
+    prepared, _ = model.prepare(rows, ["cmplnt_num"], k=3)
+    grid = {"rounds": [1, 3], "depth": [2], "rate": [0.3], "rows": [1.0], "columns": [1.0]}
+    best, tried = model.search_softmax(prepared.where("not is_test"), 12, 3, grid)
+    assert [p.rounds for p, _ in tried] == [d.rounds for d in model.hashed_draws(grid)] and len(tried) == 2
+    assert all(0.9 < s <= 1 for _, s in tried) and len(best.rounds) in (1, 3)
+    mixed = prepared.withColumn("y", F.pmod(F.xxhash64("cmplnt_num"), F.lit(3)).cast("double"))
+    _, tried = model.search_softmax(mixed, 1, 3, {**grid, "rounds": [3], "depth": [6]})
+    assert tried[0][1] < 0.5
+
+
+def test_drawn_shares():
+    names = np.random.default_rng(0).integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    how = boosting.Params(rows=0.6)
+    first, second = boosting._drawn(names, how, 0), boosting._drawn(names, how, 1)
+    assert abs(first.mean() - 0.6) < 0.02 and abs((first & second).mean() - 0.36) < 0.02
+
+
+def test_a_model_goes_on_and_bears_crashes(spark, rows, tmp_path, monkeypatch):
+    prepared, vocabularies = model.prepare(rows, ["cmplnt_num"], k=3)
+    fitted = model.train(prepared, "softmax", rounds=2, depth=2, rate=0.3)
+    model.save_model(model.Classifier(fitted, vocabularies), str(tmp_path / "m"))
+    version = model.newest_version(spark, str(tmp_path / "m"))
+    stored = {p: p.read_bytes() for p in (tmp_path / "m").rglob("*.parquet")}
+    one = boosting.Params(rounds=1, depth=2, rate=0.3)
+
+    with monkeypatch.context() as broken:  # the trees are written, the log is not
+        broken.setattr(type(spark), "createDataFrame", _failing_on(type(spark).createDataFrame, "batch long"))
+        with pytest.raises(RuntimeError, match="lost"):
+            model.continue_model(version, prepared, 7, one)
+    assert len(model.load_model(spark, str(tmp_path / "m")).model.rounds) == 2
+    for batch in (7, 7, 8):
+        model.continue_model(version, prepared, batch, one)
+    after = model.load_model(spark, str(tmp_path / "m")).model
+    assert len(after.rounds) == 4
+    for old, new in zip(fitted.rounds, after.rounds):
+        assert all((a.value == b.value).all() and (a.feature == b.feature).all() for a, b in zip(old, new))
+    assert all(p.read_bytes() == content for p, content in stored.items())
+
+
+def _failing_on(real, mark):
+    def create(self, data, schema=None, *rest, **more):
+        if isinstance(schema, str) and schema.startswith(mark):
+            raise RuntimeError("lost")
+        return real(self, data, schema, *rest, **more)
+
+    return create
