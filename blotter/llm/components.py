@@ -13,6 +13,8 @@ from blotter.session import materialise
 
 #: Links looked at together inside a task.
 BATCH_LINKS = 1 << 16
+#: So few links are left to one task, whatever the graph was at first.
+LAST_LINKS = 1 << 14
 
 
 def spanning(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
@@ -56,6 +58,29 @@ def _thinned(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return table.take(pa.array(kept)).combine_chunks().to_batches()[0] if len(kept) else held[0].slice(0, 0)
 
 
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The components of all links of a task: its nodes with one node of their component."""
+    held = list(batches)
+    if not sum(x.num_rows for x in held):
+        return
+    table = pa.Table.from_batches(held).combine_chunks()
+    ends = pa.concat_arrays([c for x in "ab" for c in table[x].chunks]).dictionary_encode()
+    code = ends.indices.to_numpy()
+    root = np.arange(len(ends.dictionary))
+    low, high = code[: len(table)], code[len(table) :]
+    while True:
+        least = np.minimum(root[low], root[high])
+        before = root.copy()
+        for end in (low, high):
+            np.minimum.at(root, root[end], least)
+            np.minimum.at(root, end, least)
+        root = root[root]
+        if (root == before).all():
+            break
+    labels = ends.dictionary.take(pa.array(root))
+    yield pa.RecordBatch.from_arrays([ends.dictionary, labels], names=["node", "label"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b) -> (node, label): the smallest node of each node's component.
 
@@ -63,14 +88,15 @@ def components(links: DataFrame) -> DataFrame:
     hash of its own, hooks each to the lowest of its neighbours and then to that one's,
     where these are lower, and puts these names in place of the nodes. Links inside one
     name are dropped, so the graph shrinks by a share from round to round, whatever its
-    shape, until no link is left; the rounds' tables are then read backwards. A node with very
+    shape, until ``LAST_LINKS`` are left, which one task resolves; the rounds' tables are then
+    read backwards. A node with very
     many neighbours weighs one value a task, as minima are taken before the shuffle, and
     its links can be split in the joins. Nodes without links, and links to itself, are not
     in the result.
     """
     edges = materialise(forest(links.where("a != b")))
     steps: list[DataFrame] = []
-    while not edges.isEmpty():
+    while edges.count() > LAST_LINKS:
         rank = lambda c, n=len(steps): F.xxhash64(c, F.lit(n))
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooked = materialise(
@@ -86,9 +112,8 @@ def components(links: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             edges = edges.join(step.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
         edges = materialise(forest(edges.where("a != b").distinct()))
-    if not steps:
-        return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
-    labels = steps.pop()
+    kind = edges.schema["a"].dataType.simpleString()
+    labels = materialise(edges.coalesce(1).mapInArrow(_solve, f"node {kind}, label {kind}"))
     for step in reversed(steps):
         last = labels.select(F.col("node").alias("label"), F.col("label").alias("_last"))
         labels = materialise(
