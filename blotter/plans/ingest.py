@@ -9,6 +9,7 @@ from blotter.functions.conform import project
 from blotter.functions.messages import ARRIVAL, decode_value, flatten, rejects, valid_records
 from blotter.operators.joins import BROADCAST_BYTES
 from blotter.operators.keys import insert_if_absent, keep_last, to_ack
+from blotter.plans.ledger import Ledger, record
 from blotter.session import materialise
 from blotter.sources.tables import Table, append, ensure_table, read_table
 
@@ -44,11 +45,13 @@ def ingest_into(
     key: str,
     target: Table,
     reject_table: Table | None = None,
+    ledger: Ledger | None = None,
+    batch: str = "",
 ) -> dict[str, int]:
     """Ingest one batch into its table; usable records received, their keys, how many of
     these were stored already and how many rows were inserted.
 
-    The batch is parsed once, whether or not its rejects are kept. A batch that comes again
+    With a ``ledger`` the new keys are noted there, under the name of the ``batch``. The batch is parsed once, whether or not its rejects are kept. A batch that comes again
     adds neither rows nor rejects.
     """
     spark = messages.sparkSession
@@ -64,14 +67,23 @@ def ingest_into(
     usable = valid_records(flat).observe(came, F.count(F.lit(1)).alias("received"))
     records = materialise(project(keep_last(usable, key, ARRIVAL), schema.names))
     fresh = insert_if_absent(records, read_table(spark, target), key)
+    if ledger is not None:
+        fresh = materialise(fresh)
+        record(ledger, fresh.select(key), "stored", batch)
     seen = Observation()
     append(fresh.observe(seen, F.count(F.lit(1)).alias("inserted")), target)
     keys, inserted = records.count(), seen.get["inserted"]
     return {**came.get, "keys": keys, "existing": keys - inserted, "inserted": inserted}
 
 
-def acknowledge_into(messages: DataFrame, acks: Table) -> None:
-    """Record the ids seen on the output topic as sent."""
+def acknowledge_into(
+    messages: DataFrame, acks: Table, ledger: Ledger | None = None, batch: str = ""
+) -> None:
+    """Record the ids seen on the output topic as sent, and note them in the ``ledger``."""
     spark = messages.sparkSession
     ensure_table(spark, acks, schemas.ACKS)
-    append(acknowledge(messages, read_table(spark, acks)), acks)
+    fresh = acknowledge(messages, read_table(spark, acks))
+    if ledger is not None:
+        fresh = materialise(fresh)
+        record(ledger, fresh.select(schemas.ACK_KEY), "acked", batch)
+    append(fresh, acks)

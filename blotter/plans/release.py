@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from blotter import schemas
 from blotter.operators.joins import BROADCAST_BYTES, payload_bytes
 from blotter.operators.keys import latest_per_key, pending
+from blotter.plans.ledger import Ledger, fold, waiting
 from blotter.session import materialise
 from blotter.sources.messages import Topic, publish_rows
 from blotter.sources.tables import Table, ensure_table, read_table
@@ -58,6 +59,27 @@ def release_counted(
     return {"pending": rows, "sent": rows}
 
 
+def release_waiting(
+    spark: SparkSession,
+    incidents: Table,
+    ledger: Ledger,
+    topic: Topic,
+    min_rows: int = schemas.RELEASE_ROWS,
+) -> dict[str, int]:
+    """``release_counted`` by a ledger: what waits is read from there, once.
+
+    A closed gate reads neither incidents nor acknowledgements. The ledger is folded on
+    the way, so one process releases.
+    """
+    fold(spark, ledger)
+    keys = materialise(waiting(spark, ledger))
+    rows = keys.count()
+    if rows < min_rows:
+        return {"pending": rows, "sent": 0}
+    publish_rows(latest_of(read_table(spark, incidents), keys), topic)
+    return {"pending": rows, "sent": rows}
+
+
 def release(
     spark: SparkSession,
     incidents: Table,

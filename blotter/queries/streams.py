@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter import schemas
 from blotter.bindings import (
-    RECORD, RECORD_COLUMNS, event_rows, message_stream, messages, table,
+    ACKS_SQL, INCIDENTS_SQL, RECORD, RECORD_COLUMNS, RECORDS_SQL, UNIQUE_SQL, acks, event_rows,
+    message_stream, messages, table, with_sql,
 )
+from blotter.plans.ledger import Ledger, fold
+from blotter.plans.release import release_waiting
 from blotter.queries.ingestion import REQUESTS_SQL, UNIQUE, answers, given_tables, requests_of
 from blotter.queries.registry import query
 from blotter.queries.rows import wall_clock
 from blotter.session import scratch
-from blotter.sources.messages import Topic, line_source, message_source, publish, published_source
+from blotter.sources.messages import Topic, line_source, message_source, publish, publish_rows, published_source
 from blotter.sources.tables import Table, read_table
 from blotter.streaming import jobs
 from blotter.streaming.batches import ONCE, run_all
@@ -105,6 +108,40 @@ def stream_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, acks)
 
 
+@query(
+    with_sql(INCIDENTS_SQL, RECORDS_SQL, UNIQUE_SQL, ACKS_SQL)
+    + f""", sent AS (SELECT * REPLACE (date_trunc('millisecond', rpt_dt) AS rpt_dt) FROM uniq WHERE cmplnt_num NOT IN (SELECT id FROM acks))
+SELECT {RECORD_COLUMNS}, (SELECT count(*) FROM uniq) AS held_back, (SELECT count(*) FROM sent) AS waiting FROM sent"""
+)
+def release_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches stored behind a closed gate, some of them acknowledged, the rest released:
+    what was sent, how many rows the closed gate held back and how many waited at the end.
+
+    Gates and counts come from the ledger, folded between batches.
+    """
+    incidents, acked = _parquet(spark, "incidents"), _parquet(spark, "acks")
+    topic, sent = Topic("file", scratch(spark, "train")), Topic("file", scratch(spark, "sent"))
+    ledger, reported = Ledger(scratch(spark, "ledger")), _parquet(spark, "metrics")
+    batches = scratch(spark, "messages")
+    # All messages of a key that comes again are in one batch, as the last of a batch counts.
+    dealt = F.when(F.col("off") % 8 == 6, 0).otherwise(F.col("off") % 3)
+    messages(spark, sf_dir).repartitionByRange(3, dealt).write.parquet(batches)
+    stream = message_source(spark, Topic("file", batches, {"maxFilesPerTrigger": "1"}))
+    storing = jobs.incident_stream(
+        stream, incidents, acked, topic, scratch(spark, "state"), ONCE, 1 << 40, reported, ledger
+    )
+    run_all([storing], LIMIT)
+    publish_rows(acks(spark, sf_dir).select(F.col("id").alias(schemas.INCIDENT_KEY)), sent)
+    fold(spark, ledger, 1)
+    returned = published_source(spark, sent)
+    run_all([jobs.ack_stream(returned, acked, scratch(spark, "state"), ONCE, ledger)], LIMIT)
+    done = release_waiting(spark, incidents, ledger, topic, 1)
+    held_back = read_table(spark, reported).agg(F.max("pending")).first()[0]
+    return wall_clock(
+        spark.read.schema(schemas.INCIDENTS).json(topic.name).select(*RECORD)
+    ).withColumns({"held_back": F.lit(held_back).cast("long"), "waiting": F.lit(done["sent"]).cast("long")})
+
+
 @query(
     UNIQUE
     + """SELECT 'incidents' AS stored, count(*) AS n FROM uniq

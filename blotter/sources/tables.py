@@ -21,15 +21,42 @@ class Table:
 def exists(spark: SparkSession, table: Table) -> bool:
     if table.kind == "catalog":
         return spark.catalog.tableExists(table.name)
-    context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(table.name)
-    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    place, system = _place(spark, table.name)
     if not system.exists(place):
         return False
     names = [status.getPath().getName() for status in system.listStatus(place)]
     return any(not name.startswith(("_", ".")) for name in names)
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and its file system."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders in a folder that were written to their end, by name."""
+    place, system = _place(spark, path)
+    if not system.exists(place):
+        return []
+    names = sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
+    whole = lambda name: system.exists(_place(spark, f"{path}/{name}/_SUCCESS")[0])
+    return [f"{path}/{name}" for name in names if whole(name)]
+
+
+def mark_whole(spark: SparkSession, path: str) -> None:
+    """Mark a folder as written to its end, as Spark marks those it writes."""
+    place, system = _place(spark, f"{path}/_SUCCESS")
+    system.create(place, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the caller's own."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
 def partitioned_jdbc(table: Table, column: str, low, high, partitions: int) -> Table:
     """The same table read by ``partitions`` tasks, cut on a numeric, date or time column."""
     split = {

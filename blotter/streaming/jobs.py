@@ -14,7 +14,8 @@ from blotter.operators.labels import known_label
 from blotter.operators.metrics import token_counts
 from blotter.plans import boosting, model
 from blotter.plans.ingest import acknowledge_into, ingest_into, unique_records
-from blotter.plans.release import release_counted
+from blotter.plans.ledger import Ledger
+from blotter.plans.release import release_counted, release_waiting
 from blotter.plans.requests import serve_requests
 from blotter.session import materialise
 from blotter.sources.messages import Topic
@@ -40,8 +41,9 @@ def ingest_stream(
     reject_table: Table | None = None,
     after: Callable[[SparkSession], dict[str, int]] | None = None,
     metrics: Table | None = None,
+    ledger: Ledger | None = None,
 ) -> StreamingQuery:
-    """Messages (part, off, value) into ``target``.
+    """Messages (part, off, value) into ``target``; new keys are noted in the ``ledger``.
 
     ``after`` runs once a batch is stored. Its counts and those of the ingest go to the
     Parquet folder ``metrics``, one row for each batch; a batch that comes again replaces
@@ -52,7 +54,7 @@ def ingest_stream(
     """
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        counts = ingest_into(batch, schema, key, target, reject_table)
+        counts = ingest_into(batch, schema, key, target, reject_table, ledger, f"{number:09d}")
         if after is not None:
             counts |= after(spark)
         if metrics is not None:
@@ -72,8 +74,18 @@ def incident_stream(
     trigger: dict | None = None,
     min_rows: int = schemas.RELEASE_ROWS,
     metrics: Table | None = None,
+    ledger: Ledger | None = None,
 ) -> StreamingQuery:
-    """Ingest incidents and after each batch release what is pending."""
+    """Ingest incidents and after each batch release what is pending.
+
+    With a ``ledger``, which the stream of acknowledgements keeps as well, what is pending
+    is read from there instead of both tables.
+    """
+    def after(spark: SparkSession) -> dict[str, int]:
+        if ledger is None:
+            return release_counted(spark, incidents, acks, topic, min_rows)
+        return release_waiting(spark, incidents, ledger, topic, min_rows)
+
     return ingest_stream(
         stream,
         schemas.INCIDENTS,
@@ -81,8 +93,9 @@ def incident_stream(
         incidents,
         checkpoint,
         trigger,
-        after=lambda spark: release_counted(spark, incidents, acks, topic, min_rows),
+        after=after,
         metrics=metrics,
+        ledger=ledger,
     )
 
 
@@ -103,11 +116,11 @@ def status_stream(
 
 
 def ack_stream(
-    stream: DataFrame, acks: Table, checkpoint: str, trigger: dict | None = None
+    stream: DataFrame, acks: Table, checkpoint: str, trigger: dict | None = None, ledger: Ledger | None = None
 ) -> StreamingQuery:
-    """Record every incident seen on the output topic as sent."""
+    """Record every incident seen on the output topic as sent, in the ``ledger`` as well."""
     def step(batch: DataFrame, number: int) -> None:
-        acknowledge_into(batch, acks)
+        acknowledge_into(batch, acks, ledger, f"{number:09d}")
 
     return run_batches(stream, step, checkpoint, trigger)
 
