@@ -8,6 +8,7 @@ cost follows the open keys and the latest batches, not the tables.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -37,13 +38,14 @@ class Ledger:
 def record(ledger: Ledger, keys: DataFrame, change: str, name: str) -> None:
     """Note that the ``keys`` (one column) are being ``stored`` or ``acked``.
 
-    ``name`` names the batch; one that comes again replaces its change. A key may be noted
-    more than once and in any order. Note keys before they are stored: a batch that is
-    lost in between finds them missing from the table and notes them again.
+    Every call adds a change of its own, with ``name`` in its name; a key may be noted more
+    than once and in any order. Note keys before they are stored: a batch that is lost in
+    between finds them missing from the table and notes them again, and one that comes
+    again later finds them there, and what it noted at first stays.
     """
     key = F.col(keys.columns[0]).cast("string").alias("key")
     noted = keys.select(key, *(F.lit(change == c).alias(c) for c in ("stored", "acked")))
-    noted.write.mode("overwrite").parquet(f"{ledger.path}/changes/{change}-{name}")
+    noted.write.parquet(f"{ledger.path}/changes/{change}-{name}-{uuid.uuid4().hex}")
 
 
 def _covered(spark: SparkSession, base: str | None) -> set[str]:
