@@ -123,6 +123,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_of(incidents(spark, sf_dir))
 
 
+def timed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages with the time they were sent, which is that of the event; offsets
+    of different parts do not follow it."""
+    rows = incidents(spark, sf_dir)
+    times = rows.select(F.col("event_id").alias("off"), F.col("rpt_dt").cast("timestamp").alias("sent"))
+    return messages_of(rows).join(times, "off").select("part", "off", "value", "sent")
+
+
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as a stream."""
     return messages_of(incidents_of(event_rows(spark, sf_dir), table(spark, sf_dir, "region")))

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from blotter.functions.conform import typed
 
 ARRIVAL = ["part", "off", "pos"]
+#: The order in which records count as having arrived: by the time their message was sent, if
+#: it carries one, then by place. Messages without a time come before all that have one.
+SENT = "sent"
+CLOCK = [SENT, *ARRIVAL]
 
 
 def decode_value(df: DataFrame) -> DataFrame:
@@ -87,19 +91,20 @@ def _reason(key_type: T.DataType) -> Column:
 def flatten(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     """Elements of decoded messages (part, off, raw): place, ``reason``, declared fields.
 
-    ``reason`` is null for a usable row, else parse_error, unsupported_top_level,
+    Where messages carry the time they were ``sent``, their elements do so too. ``reason``
+    is null for a usable row, else parse_error, unsupported_top_level,
     element_not_object, missing_key or bad_key. A field an element lacks is null, and an
     empty list gives no row at all.
     """
     parsed = messages.withColumn("_doc", F.try_parse_json("raw"))
-    elements = parsed.select("part", "off", F.posexplode(_elements(key)).alias("pos", "_item"))
+    place = [c for c in (SENT, "part", "off") if c in messages.columns]
+    elements = parsed.select(*place, F.posexplode(_elements(key)).alias("pos", "_item"))
     reason = _reason(schema[key].dataType)
     # All fields leave the variant in one pass, as text, and are typed afterwards.
     texts = ", ".join(f"`{name}` string" for name in schema.names)
     fields = F.try_variant_get("_item.e", "$", f"struct<{texts}>")
     return elements.withColumn("_fields", fields).select(
-        "part",
-        "off",
+        *place,
         "pos",
         reason.alias("reason"),
         # A rejected element keeps its own text, not that of the list around it.
@@ -108,6 +113,11 @@ def flatten(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     )
 
 
+def clock_of(df: DataFrame) -> list[str]:
+    """The columns that order the records of ``flatten``."""
+    return [c for c in CLOCK if c in df.columns]
+
+
 def valid_records(flat: DataFrame) -> DataFrame:
     """Usable rows of ``flatten``: place and declared fields."""
     return flat.where(F.col("reason").isNull()).drop("reason", "raw")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from blotter import schemas
 from blotter.functions.conform import project
-from blotter.functions.messages import ARRIVAL, decode_value, flatten, rejects, valid_records
+from blotter.functions.messages import ARRIVAL, clock_of, decode_value, flatten, rejects, valid_records
 from blotter.operators.joins import BROADCAST_BYTES
 from blotter.operators.keys import insert_if_absent, keep_last, to_ack
 from blotter.plans.ledger import Ledger, record
@@ -16,7 +16,7 @@ from blotter.sources.tables import Table, append, ensure_table, read_table
 
 def unique_records(flat: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     """The last usable record per key, in the declared columns."""
-    return project(keep_last(valid_records(flat), key, ARRIVAL), schema.names)
+    return project(keep_last(valid_records(flat), key, clock_of(flat)), schema.names)
 
 
 def ingest(
@@ -65,7 +65,7 @@ def ingest_into(
         append(refused.join(known, ARRIVAL, "left_anti").select(refused.columns), reject_table)
     came = Observation()
     usable = valid_records(flat).observe(came, F.count(F.lit(1)).alias("received"))
-    records = materialise(project(keep_last(usable, key, ARRIVAL), schema.names))
+    records = materialise(project(keep_last(usable, key, clock_of(flat)), schema.names))
     fresh = insert_if_absent(records, read_table(spark, target), key)
     if ledger is not None:
         fresh = materialise(fresh)

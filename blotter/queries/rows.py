@@ -240,3 +240,15 @@ LIMIT 100 OFFSET 150"""
 def page_slice_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = incidents(spark, sf_dir).select("cmplnt_num", "rpt_dt", "pd_desc")
     return page_slice(rows, limit=100, offset=150, order=["rpt_dt", "cmplnt_num"])
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 100 OFFSET (SELECT count(*) * 9 // 10 FROM lineitem)"""
+)
+def page_slice_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page nine tenths into a table, found without sorting it. A task may hold 1 000 rows
+    here, so that small tables are deep as well."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return page_slice(rows, 100, rows.count() * 9 // 10, order, fit=1000).drop("l_suppkey")

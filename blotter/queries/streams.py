@@ -7,18 +7,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from blotter import schemas
 from blotter.bindings import (
     ACKS_SQL, INCIDENTS_SQL, RECORD, RECORD_COLUMNS, RECORDS_SQL, UNIQUE_SQL, acks, event_rows,
-    message_stream, messages, table, with_sql,
+    message_stream, messages, table, timed_messages, with_sql,
 )
+from blotter.functions.messages import ARRIVAL, CLOCK, decode_value, flatten, valid_records
+from blotter.operators.keys import keep_last
 from blotter.plans.ledger import Ledger, fold
 from blotter.plans.release import release_waiting
 from blotter.queries.ingestion import REQUESTS_SQL, UNIQUE, answers, given_tables, requests_of
 from blotter.queries.registry import query
 from blotter.queries.rows import wall_clock
 from blotter.session import scratch
-from blotter.sources.messages import Topic, line_source, message_source, publish, publish_rows, published_source
-from blotter.sources.tables import Table, read_table
+from blotter.sources.messages import TIMED, Topic, line_source, message_source, publish, publish_rows, published_source
+from blotter.sources.tables import Table, append, read_table
 from blotter.streaming import jobs
 from blotter.streaming.batches import ONCE, run_all
+from blotter.streaming.keyed import keyed_ingest_stream, loads
 
 LIMIT = 600  # seconds a query may stream
 
@@ -108,6 +111,51 @@ def stream_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, acks)
 
 
+# The batch that brings a key first, and in it the record sent last.
+FIRST_SQL = """first AS (
+  SELECT * FROM records QUALIFY row_number() OVER (
+    PARTITION BY cmplnt_num ORDER BY off // 8 % 3, rpt_dt DESC, part DESC, off DESC, pos DESC) = 1
+)"""
+
+
+@query(
+    with_sql(INCIDENTS_SQL, RECORDS_SQL, FIRST_SQL)
+    + f"""SELECT CASE WHEN cmplnt_num LIKE '%4' THEN 'stored' ELSE 'batch' END AS origin, {RECORD_COLUMNS} FROM first"""
+)
+def insert_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that holds some of the keys, and three batches that add the others, with a
+    restart after each; only the stream's state tells which keys are known."""
+    stored, target = _parquet(spark, "stored"), _parquet(spark, "incidents")
+    topic, state = Topic("file", scratch(spark, "messages")), scratch(spark, "state")
+    batch = F.floor(F.col("off") / 8) % 3
+    sent = timed_messages(spark, sf_dir)
+    records = valid_records(flatten(decode_value(sent), schemas.INCIDENTS, schemas.INCIDENT_KEY))
+    before = records.where(F.col("cmplnt_num").endswith("4"))
+    append(keep_last(before.withColumn("_turn", -batch), "cmplnt_num", ["_turn", *CLOCK]).select(schemas.INCIDENTS.names), stored)
+    for number in range(3):
+        sent.where(batch == number).select(TIMED.names).write.mode("append").parquet(topic.name)
+        running = keyed_ingest_stream(
+            message_source(spark, topic, timed=True), schemas.INCIDENTS, schemas.INCIDENT_KEY, target, state, ONCE, stored
+        )
+        run_all([running], LIMIT)
+    added = loads(spark, target, schemas.INCIDENTS).select(F.lit("batch").alias("origin"), *RECORD)
+    return wall_clock(
+        read_table(spark, stored).select(F.lit("stored").alias("origin"), *RECORD).unionByName(added)
+    )
+
+
+@query(
+    with_sql(INCIDENTS_SQL, RECORDS_SQL)
+    + f"""SELECT part, off, pos, {RECORD_COLUMNS} FROM records
+QUALIFY row_number() OVER (PARTITION BY cmplnt_num ORDER BY rpt_dt DESC, part DESC, off DESC, pos DESC) = 1"""
+)
+def keep_last_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last record of each key by the time it was sent, from partitions out of step."""
+    flat = flatten(decode_value(timed_messages(spark, sf_dir)), schemas.INCIDENTS, schemas.INCIDENT_KEY)
+    last = keep_last(valid_records(flat), schemas.INCIDENT_KEY, CLOCK)
+    return wall_clock(last.select(*ARRIVAL, *RECORD))
+
+
 @query(
     with_sql(INCIDENTS_SQL, RECORDS_SQL, UNIQUE_SQL, ACKS_SQL)
     + f""", sent AS (SELECT * REPLACE (date_trunc('millisecond', rpt_dt) AS rpt_dt) FROM uniq WHERE cmplnt_num NOT IN (SELECT id FROM acks))

@@ -18,6 +18,9 @@ MESSAGE = T.StructType(
     ]
 )
 
+# The same with the time it was sent, as Kafka's messages have it.
+TIMED = T.StructType([*MESSAGE.fields, T.StructField("sent", T.TimestampType())])
+
 
 @dataclass(frozen=True)
 class Topic:
@@ -39,17 +42,20 @@ def kafka_options(topic: Topic, starting: str = "latest", fail_on_data_loss: boo
 
 
 def message_source(
-    spark: SparkSession, topic: Topic, starting: str = "latest", fail_on_data_loss: bool = False
+    spark: SparkSession, topic: Topic, starting: str = "latest", fail_on_data_loss: bool = False,
+    timed: bool = False,
 ) -> DataFrame:
-    """Stream of messages (part, off, value)."""
+    """Stream of messages (part, off, value); those of Kafka carry the time they were sent,
+    and those of a folder if it is ``timed``."""
     if topic.kind == "kafka":
         stream = spark.readStream.format("kafka").options(
             **kafka_options(topic, starting, fail_on_data_loss)
         )
         return stream.load().select(
-            F.col("partition").alias("part"), F.col("offset").alias("off"), "value"
+            F.col("partition").alias("part"), F.col("offset").alias("off"), "value",
+            F.col("timestamp").alias("sent"),
         )
-    return spark.readStream.schema(MESSAGE).options(**topic.options).parquet(topic.name)
+    return spark.readStream.schema(TIMED if timed else MESSAGE).options(**topic.options).parquet(topic.name)
 
 
 def line_source(spark: SparkSession, kind: str = "text", **options: str) -> DataFrame:

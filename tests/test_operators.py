@@ -15,6 +15,7 @@ from blotter.functions.clock import cyclic_features, day_slots, time_features
 from blotter.functions.conform import conform_schema, project
 from blotter.operators import encoding, filters, keys, labels, metrics, sectors
 from blotter.operators.joins import lookup, payload_bytes
+from blotter.operators import ordering
 from blotter.operators.ordering import global_index, page_slice
 from blotter.operators.sampling import stratified_split
 from blotter.schemas import schema_of
@@ -296,3 +297,25 @@ def test_deep_pages_are_sorted(spark, monkeypatch):
     rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("n")).repartition(6)
     page = ordering.page_slice(rows, 300, 2500, ["n"])
     assert [r.n for r in page.collect()] == list(range(2500, 2800))
+
+
+def test_a_deep_page_is_found_by_counting(spark, plan_of):
+    rows = spark.range(20_000, numPartitions=4).select(
+        F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") * 7919 % 101).alias("a"),
+        (F.col("id") * 31 % 20_011).cast("double").alias("b"), "id",
+    ).cache()
+    order = ["a", "b", "id"]
+    whole = rows.orderBy(*order).collect()
+    for offset, limit in ((0, 10), (395, 20), (9_999, 150), (19_990, 50), (25_000, 5)):
+        page = ordering.page_slice(rows, limit, offset, order, fit=200)
+        assert page.collect() == whole[offset : offset + limit]
+    page = ordering.page_slice(rows, 10, 12_345, order, fit=200)
+    assert "rangepartitioning" not in plan_of(page) and "TakeOrdered" in plan_of(page)
+    inside, before = ordering.narrowed(rows, order, 12_345, 10, 200)
+    assert inside.count() <= 200 and 12_145 < before <= 12_345
+
+
+def test_a_deep_page_among_equal_keys(spark):
+    rows = spark.range(3_000).select(F.lit(1).alias("a"), (F.col("id") % 2).alias("b"))
+    page = ordering.page_slice(rows, 4, 1_498, ["a", "b"], fit=100).collect()
+    assert [r.b for r in page] == [0, 0, 1, 1]
