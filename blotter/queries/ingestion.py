@@ -14,7 +14,7 @@ from blotter.functions.messages import ARRIVAL, decode_value, flatten, rejects,
 from blotter.operators import keys, metrics
 from blotter.plans import ingest as plan
 from blotter.plans.release import latest_of, pending_keys, release
-from blotter.plans.requests import serve_requests
+from blotter.plans.requests import serve_pool, serve_requests
 from blotter.queries.registry import query
 from blotter.queries.rows import wall_clock
 from blotter.session import materialise, scratch
@@ -382,3 +382,17 @@ def sql_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = Topic("file", scratch(spark, "answers"))
     serve_requests(requests_of(table(spark, sf_dir, "region")), given_tables(sf_dir), topic)
     return answers(spark, topic.name)
+
+
+# More rows than anyone waits for.
+ENDLESS = "SELECT sum(a.user_id * b.user_id * c.user_id * d.user_id) AS n FROM events a, events b, events c, events d"
+
+
+@query(REQUESTS_SQL + " UNION ALL SELECT NULL, NULL, NULL, true")
+def sql_requests_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests four at a time, with one among them that never ends and is given up."""
+    topic = Topic("file", scratch(spark, "answers"))
+    asked = requests_of(table(spark, sf_dir, "region"))
+    endless = spark.createDataFrame([(ENDLESS,)], asked.schema)
+    serve_pool(endless.unionByName(asked), given_tables(sf_dir), topic, seconds=30.0)
+    return answers(spark, topic.name)

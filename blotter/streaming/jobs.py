@@ -16,7 +16,7 @@ from blotter.plans import boosting, model
 from blotter.plans.ingest import acknowledge_into, ingest_into, unique_records
 from blotter.plans.ledger import Ledger
 from blotter.plans.release import release_counted, release_waiting
-from blotter.plans.requests import serve_requests
+from blotter.plans.requests import serve_pool, serve_requests
 from blotter.session import materialise
 from blotter.sources.messages import Topic
 from blotter.sources.tables import Table, append, ensure_table, read_table
@@ -146,11 +146,17 @@ def request_stream(
     topic: Topic,
     checkpoint: str,
     trigger: dict | None = None,
+    in_flight: int = 1,
+    seconds: float = 300.0,
 ) -> StreamingQuery:
-    """Answer SQL requests arriving as message bodies."""
+    """Answer SQL requests arriving as message bodies, ``in_flight`` at once; with more than
+    one, each has a limit of ``seconds``."""
     def step(batch: DataFrame, number: int) -> None:
         requests = batch.select(F.col("value").cast("string").alias("sql_query"))
-        serve_requests(requests, source, topic)
+        if in_flight > 1:
+            serve_pool(requests, source, topic, in_flight=in_flight, seconds=seconds)
+        else:
+            serve_requests(requests, source, topic)
 
     return run_batches(stream, step, checkpoint, trigger)
 

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from blotter import schemas
-from blotter.plans.requests import run_request, serve_requests
+from blotter.plans.requests import run_request, serve_pool, serve_requests
 from blotter.sources.messages import (
     Topic, console_sink, kafka_options, line_source, publish, publish_rows, published_source,
 )
@@ -80,6 +80,26 @@ def test_requests_are_answered_even_when_they_fail_late(spark, tmp_path):
     assert sum("error" in a for a in answers) == 2
 
 
+def test_a_pool_keeps_order_and_gives_up_endless_requests(spark, tmp_path):
+    table = Table("parquet", str(tmp_path / "t"))
+    append(spark.range(400).coalesce(1), table)  # the endless request takes one core
+    endless = "select sum(a.id * b.id * c.id * d.id) as n from t a, t b, t c, t d"
+    asked = [endless, *(f"select {i} as id from t where id = {i}" for i in range(7)), "nonsense"]
+    requests = spark.createDataFrame([(q,) for q in asked], "sql_query string").coalesce(1)
+    sent = []
+    kept = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+
+    def keep(values, topic):
+        sent.extend(json.loads(r.value) for r in values.collect())
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr("blotter.plans.requests.publish", keep)
+        serve_pool(requests, {"t": table}, Topic("file", str(tmp_path / "answers")), in_flight=3, seconds=15)
+    assert sent[0] == {"error": "no answer within 15 s"}
+    assert [a.get("id") for a in sent[1:8]] == list(range(7)) and "error" in sent[8] and len(sent) == 9
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == kept
+
+
 def test_kafka_options_are_those_of_a_cautious_reader():
     topic = Topic("kafka", "incoming", {"kafka.bootstrap.servers": "b:1"})
     assert kafka_options(topic) == {
