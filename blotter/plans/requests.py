@@ -108,7 +108,9 @@ def serve_pool(
 
     Answers go out in the order of the requests. A request that runs longer than
     ``seconds`` is cancelled and answered with an error, so none holds up the others for
-    longer; time it waits for a free core counts, as running tasks are not taken off theirs. At most twice ``in_flight`` answers lie
+    longer; time it waits for a free core counts, as running tasks are not taken off theirs. Tasks of a
+    cancelled request end at their next batch of rows; where that may be long, let
+    spark.task.reaper.enabled end them. At most twice ``in_flight`` answers lie
     ready before they go out. All run in the scheduler pool ``pool``: in a session with
     spark.scheduler.mode FAIR, other work keeps its share.
     """
