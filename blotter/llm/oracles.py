@@ -8,9 +8,14 @@ _CHAT = """
 WITH t AS (
     SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
     FROM conversations
+), numbered AS (
+    SELECT *, cast(floor(turn / 64.0) AS BIGINT) AS part,
+        (row_number() OVER (PARTITION BY conv_id, floor(turn / 64.0) ORDER BY turn, role, text) - 1)
+            // 64 AS slice
+    FROM t
 ), views AS (
-    SELECT t.*, p.participant, cast(floor(turn / 64.0) AS BIGINT) AS part, t.role = p.participant AS own
-    FROM t JOIN (SELECT DISTINCT conv_id, role AS participant FROM t) p
+    SELECT t.*, p.participant, t.role = p.participant AS own
+    FROM numbered t JOIN (SELECT DISTINCT conv_id, role AS participant FROM t) p
       ON t.conv_id IS NOT DISTINCT FROM p.conv_id
 ), pieces AS (
     SELECT *,
@@ -21,15 +26,15 @@ WITH t AS (
     FROM views
 ), placed AS (
     SELECT *, sum(length(head) + length(body)) OVER (
-        PARTITION BY conv_id, participant, part ORDER BY turn NULLS FIRST, role, text
+        PARTITION BY conv_id, participant, part, slice ORDER BY turn NULLS FIRST, role, text
         ROWS UNBOUNDED PRECEDING) - length(body) AS start
     FROM pieces
 )
-SELECT conv_id, participant, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+SELECT conv_id, participant, part, slice, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
     string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
     coalesce(string_agg(cast(start AS VARCHAR) || '-' || cast(start + length(body) AS VARCHAR), ','
         ORDER BY turn NULLS FIRST, role, text) FILTER (own), '') AS mask
-FROM placed GROUP BY conv_id, participant, part
+FROM placed GROUP BY conv_id, participant, part, slice
 """
 
 

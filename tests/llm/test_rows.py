@@ -95,6 +95,34 @@ def test_a_long_dialogue_comes_in_parts(spark):
     assert whole.count("assistant\n") == 100 and whole.index("turn 99") < whole.index("turn 100")
 
 
+def test_crowded_parts_come_in_slices(spark):
+    rng = random.Random(5)
+    rows = [(1, None, "abc"[i % 3], "same start " * 9 + f"{rng.random()}", "") for i in range(1000)]
+    rows += [(None, 3, "ab"[i % 2], f"turn {i}", "") for i in range(150)]
+    rows += [(2, i % 70, "a", f"turn {i}", "") for i in range(200)]
+    rows += [(3, 1, "a", "often", "")] * 500 + [(4, 1, "a", "x" * 500_000, ""), (4, None, "b", "few", "")]
+    rng.shuffle(rows)
+    got = chat.rotate_perspectives(chat_rows(spark, rows)).collect()
+    sets = {}
+    for conv, turn, role, text, _ in rows:
+        sets.setdefault((conv, None if turn is None else turn // 64), set()).add((turn or 0, role, text))
+    roles = {}
+    for conv, _, role, _, _ in rows:
+        roles.setdefault(conv, set()).add(role)
+    expected = {}
+    for (conv, part), turns in sets.items():
+        for at, (_, role, text) in enumerate(sorted(turns)):
+            for who in roles[conv]:
+                head = "assistant" if who == role else f"user name={role}"
+                expected.setdefault((conv, who, part, at // 64), []).append(
+                    f"<|im_start|>{head}\n{text}<|im_end|>\n"
+                )
+    assert {(r["conv_id"], r["participant"], r["part"], r["slice"]): r["rendered"] for r in got} == {
+        k: "".join(v) for k, v in expected.items()
+    }
+    assert len(got) == len(expected) and max(r["n_turns"] for r in got) == 64
+
+
 def test_urls(spark):
     rows = [
         (1, "http://WWW.Example.org/es/x?q"), (2, "https://example.org/en/123#y"), (3, "http://org/"),
