@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from blotter.llm.columns import others
 from blotter.llm.words import as_bytes, grams, hash_words, letters, runs, sliced
+from blotter.operators.joins import lookup
+from blotter.session import materialise
 
 WINDOW = 10
 GRAM = 5
@@ -105,18 +111,29 @@ class Fingerprints:
                         yield text, p - int(bounds[text]), p + size - int(bounds[text]), item
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The items, once each, in blocks of bounded size."""
-    items = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    ).distinct()
-    size = items.agg(F.sum(F.octet_length("text") + 16).cast("bigint")).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
-    part = F.pmod(F.xxhash64("name", "text"), F.lit(blocks))
-    for i in range(blocks):
-        rows = items.where(part == i).collect()
-        yield sorted((r["name"], r["text"].encode()) for r in rows)
+class Blocks:
+    """The items of a benchmark, once each, in ``number`` blocks of about ``block_bytes``."""
+
+    def __init__(self, benchmark: DataFrame, block_bytes: int, window: int, gram: int):
+        self.window, self.gram = window, gram
+        items = benchmark.select(
+            F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"),
+            F.coalesce("text", F.lit("")).alias("text"),
+        ).distinct()
+        size = items.agg(F.sum(F.octet_length("text") + 16).cast("bigint")).first()[0] or 0
+        self.number = -(-size // block_bytes) or 1
+        self.items = items.withColumn(
+            "block", F.pmod(F.xxhash64("name", "text"), F.lit(self.number))
+        )
+        if self.number > 1:  # sorted, so that a block is read from few files
+            self.items = materialise(self.items.repartitionByRange("block").sortWithinPartitions("block"))
+
+    def send(self, block: int) -> Broadcast:
+        """The fingerprints of one block, to every executor; only this block is held."""
+        rows = self.items.where(F.col("block") == block).collect()
+        items = sorted((r["name"], r["text"].encode()) for r in rows)
+        index = Fingerprints(items, self.window, self.gram)
+        return self.items.sparkSession.sparkContext.broadcast(vars(index))
 
 
 def find_leaks(
@@ -133,9 +150,13 @@ def find_leaks(
     hash is kept, on both sides; fingerprints of documents and items are joined and every
     hit is extended. This finds every shared run of ``window`` words or more. An item
     with fewer words, but not none, must occur whole; winnowing cannot promise that, so
-    these are looked up by the hash of the whole item. The benchmark, a stated query set,
-    meets all documents in blocks of about ``block_bytes``: one pass without a shuffle
-    for each block, whatever their number.
+    these are looked up by the hash of the whole item.
+
+    The benchmark, a stated query set, meets all documents in blocks of about
+    ``block_bytes``. One block is one pass without a shuffle. Of more, each is sent, passed
+    over all texts and dropped before the next one is built, so the driver and the tasks
+    hold one whatever their number; what a pass finds is written by the text's SHA-256, and
+    the passes' finds of a text are joined with the documents at the end, by measured size.
 
     Words are runs of ASCII letters and digits and of anything beyond ASCII, A-Z
     lower-cased. Returns the columns of ``docs`` (or ``keep``), then n_words, n_hit (words
@@ -149,68 +170,97 @@ def find_leaks(
         "n_items bigint, item_ids array<string>, contaminated boolean"
     )
     kept = others(keep or docs.columns, made.names)
-    state = T.StructType.fromDDL("_spans binary, _items array<string>")
-    frame = docs.select(
-        *dict.fromkeys([*(c for c in kept), "text"]),
-        F.lit(b"").alias("_spans"),
-        F.array().cast("array<string>").alias("_items"),
-    )
-    fields = {f.name: f for f in frame.schema.fields}
-    blocks = list(_held(docs.sparkSession, benchmark, window, gram, block_bytes))
-    for i, held in enumerate(blocks):
-        final = i == len(blocks) - 1
-        names = kept if final else [c for c in frame.columns if c not in state.names]
-        schema = T.StructType([*(fields[c] for c in names), *(made if final else state)])
-        frame = frame.mapInArrow(_scan(held, names, final), schema)
-    return frame
+    frame = docs.select(*dict.fromkeys([*kept, "text"]))
+    schema = T.StructType([*(f for f in frame.schema.fields if f.name in kept), *made])
+    blocks = Blocks(benchmark, block_bytes, window, gram)
+    if blocks.number == 1:
+        held = blocks.send(0)
+        frame = frame.withColumn("_leaks", F.lit(None).cast("string"))
+    else:
+        held = None
+        digest = F.sha2(F.col("text").cast("binary"), 256)
+        found = [_pass(docs.select("text"), blocks, i) for i in range(blocks.number)]
+        leaks = materialise(
+            reduce(DataFrame.unionAll, found).groupBy("_digest")
+            .agg(F.array_join(F.collect_list("_leaks"), "\n").alias("_leaks"))
+        )
+        frame = lookup(frame.withColumn("_digest", digest), leaks, ["_digest"]).drop("_digest")
+    order = [f.name for f in schema.fields[: len(kept)]]
+    return frame.mapInArrow(_judge(held, order, made.names), schema)
+
+
+def _pass(texts: DataFrame, blocks: Blocks, block: int) -> DataFrame:
+    """Finds of one block in all texts, once for each different text, written."""
+    held = blocks.send(block)
+    found = texts.mapInArrow(_note(held), "_digest string, _leaks string").distinct()
+    written = materialise(found)
+    held.destroy()
+    return written
 
 
-def _held(spark, benchmark, window, gram, block_bytes):
-    """Broadcasts of one block each; their size has the bound of a block."""
-    for items in _blocks(benchmark, block_bytes):
-        yield spark.sparkContext.broadcast(vars(Fingerprints(items, window, gram)))
+def _search(texts: list[bytes], held: Broadcast | None):
+    """For each text: how many words, spans of hits and names of items."""
+    index = Fingerprints.of(held.value) if held else None
+    sizes = np.zeros(len(texts), np.int64)
+    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    items: list[set[str]] = [set() for _ in texts]
+    for low, high in runs(texts, RUN_BYTES):
+        words, _, _, _, bounds = hash_words(texts[low:high], letters())
+        sizes[low:high] = np.diff(bounds)
+        for text, first, last, item in index.hits(words, bounds) if index else ():
+            spans[low + text].append((first, last))
+            items[low + text].add(index.names[item])
+    return sizes, spans, items
 
 
-def _scan(held, names: list[str], final: bool):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Fingerprints.of(held.value)
+def _note(held: Broadcast):
+    """Batches of texts to the finds of those that have any, as JSON."""
+
+    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = as_bytes(batch["text"])
-            sizes = np.zeros(len(texts), np.int64)
-            spans = [list(np.frombuffer(x, np.int32).reshape(-1, 2)) for x in batch["_spans"].to_pylist()]
-            items = [set(x) for x in batch["_items"].to_pylist()]
-            for low, high in runs(texts, RUN_BYTES):
-                words, _, _, _, bounds = hash_words(texts[low:high], letters())
-                sizes[low:high] = np.diff(bounds)
-                for text, first, last, item in index.hits(words, bounds):
-                    spans[low + text].append((first, last))
-                    items[low + text].add(index.names[item])
+            _, spans, items = _search(texts, held)
+            hit = [i for i, x in enumerate(items) if x]
+            digests = [hashlib.sha256(texts[i]).hexdigest() for i in hit]
+            leaks = [json.dumps([_merge(spans[i]), sorted(items[i])]) for i in hit]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.string()), pa.array(leaks, pa.string())],
+                names=["_digest", "_leaks"],
+            )
+
+    return note
+
+
+def _judge(held: Broadcast | None, kept: list[str], made: list[str]):
+    """Batches of documents to their verdicts, by the block held and by finds written before."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            sizes, spans, items = _search(as_bytes(batch["text"]), held)
+            for i, leaks in enumerate(batch["_leaks"].to_pylist()):
+                for line in leaks.split("\n") if leaks else ():
+                    more, names = json.loads(line)
+                    spans[i] += map(tuple, more)
+                    items[i].update(names)
             merged = [_merge(x) for x in spans]
             ids = [sorted(x) for x in items]
-            columns = [batch[c] for c in names]
-            if final:
-                hit = [sum(b - a for a, b in x) for x in merged]
-                columns += [
-                    pa.array(sizes, pa.int64()),
-                    pa.array(hit, pa.int64()),
-                    pa.array(
-                        [[{"first": a, "last": b} for a, b in x] for x in merged],
-                        pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])),
-                    ),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array(ids, pa.list_(pa.string())),
-                    pa.array([x > 0 for x in hit], pa.bool_()),
-                ]
-                made = ["n_words", "n_hit", "spans", "n_items", "item_ids", "contaminated"]
-            else:
-                columns += [
-                    pa.array([np.array(x, np.int32).tobytes() for x in merged], pa.binary()),
-                    pa.array(ids, pa.list_(pa.string())),
-                ]
-                made = ["_spans", "_items"]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])
-
-    return scan
+            hit = [sum(b - a for a, b in x) for x in merged]
+            columns = [
+                pa.array(sizes, pa.int64()),
+                pa.array(hit, pa.int64()),
+                pa.array(
+                    [[{"first": a, "last": b} for a, b in x] for x in merged],
+                    pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])),
+                ),
+                pa.array([len(x) for x in ids], pa.int64()),
+                pa.array(ids, pa.list_(pa.string())),
+                pa.array([x > 0 for x in hit], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in kept), *columns], names=[*kept, *made]
+            )
+
+    return judge
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

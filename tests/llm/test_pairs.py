@@ -150,6 +150,33 @@ def test_leaks_equal_brute_force_in_any_number_of_blocks(make, prose, spark):
         assert got["contaminated"] == bool(hit)
 
 
+def test_blocks_of_a_benchmark_are_held_one_at_a_time(make, prose, odd, spark, monkeypatch):
+    items = [(i, prose(i, 40)) for i in range(60)]
+    live, most = set(), []
+    send = type(spark.sparkContext).broadcast
+
+    def broadcast(context, value):
+        held = send(context, value)
+        live.add(id(held))
+        most.append(len(live))
+        destroy = held.destroy
+        held.destroy = lambda: (live.discard(id(held)), destroy())
+        return held
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    copies = [(1000 + i, "Lead in. " + prose(7, 40) + " and " + prose(8, 40)) for i in range(300)]
+    rows = [*odd, *copies, (5000, None), (5001, prose(59, 40))]
+    docs = make(rows).withColumn("SPANS", F.lit("x"))
+    found = decontamination.find_leaks(docs, spark.createDataFrame(items, ITEMS), block_bytes=600)
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert len(most) > 20 and max(most) == 1 and not live
+    assert found.count() == len(rows) and found.columns[:5] == make([]).columns
+    assert all(got[i]["item_ids"] == ["7", "8"] and got[i]["n_hit"] == 80 for i, _ in copies)
+    assert got[5001]["spans"][0]["last"] == 40 and not got[5000]["contaminated"]
+    assert got[8]["item_ids"] == ["8"]  # the very long text starts like this item
+    assert sum(r["contaminated"] for r in got.values()) == 302
+
+
 def test_leaks_of_odd_rows_and_clashing_names(make, odd, spark):
     none = spark.createDataFrame([], ITEMS)
     docs = make(odd).withColumn("Contaminated", F.lit("x")).withColumn("n_hit", F.lit("y"))
