@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm import chat, chunks, context_tree, mixing, sharding, toxicity, url_filters
 from blotter.llm.url_rules import RULES
-from helpers import PlainTree, differencing, unigram
+from helpers import PlainTree, differencing, plain_chain, unigram
 
 
 def test_differencing_equals_a_plain_version():
@@ -258,6 +258,40 @@ def test_toxicity_learns_and_chains(spark, make, prose):
     assert all(r["toxic"] == (r["doc_id"] % 5 == 0) for r in got)
 
 
+def test_toxicity_equals_a_plain_chain(spark, make):
+    rng = random.Random(11)
+    common = [f"w{i}" for i in range(60)]
+    rows, labels = [], {}
+    for i in range(400):
+        text = rng.choices(common, k=25)
+        poor, toxic = rng.random() < 0.3, rng.random() < 0.2
+        text += rng.sample(["spam", "CLICK", "buy"], 2) if poor and rng.random() < 0.9 else []
+        text += [rng.choice(["grr", "Uzz"])] if toxic or rng.random() < 0.05 else []
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        if i < 300:
+            labels[i] = int(not poor), int(toxic)
+    rows += [(500, None), (501, ""), (502, rows[3][1]), (503, "grr " * 5000)]
+    labels[500], labels[502] = (0, 0), (0, 1)
+    links = toxicity.learn(make(rows), spark.createDataFrame([(k, *v) for k, v in labels.items()], LABELS))
+    assert all(len(x.words) for x in links)
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(make(rows), links).collect()}
+    for (name, _), expected in zip(rows, plain_chain([(i, t or "") for i, t in rows], labels)):
+        row = got[name]
+        assert [row[f"p_{c}"] for c in toxicity.CATEGORIES] == pytest.approx(expected, abs=1e-4)
+        assert row["toxic"] == (row["p_toxic"] >= 0.5)
+
+
+def test_toxicity_learns_from_the_smallest_of_several_texts(spark, make, prose):
+    rows = [(i, prose(i, 20) + (" zzgrr" if i % 4 == 0 else "")) for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(120)], LABELS)
+    more = [(i, f"zz {prose(900 + i, 20)}") for i in range(120)] + [(i, None) for i in range(120)]
+    plain = toxicity.learn(make(rows), labels)
+    for twice in (rows + more, more + rows):
+        for a, b in zip(plain, toxicity.learn(make(twice).repartition(5), labels)):
+            assert (a.words.tolist(), a.constant) == (b.words.tolist(), b.constant)
+
+
 @pytest.mark.parametrize("depth", [2, 5])
 def test_scores_equal_a_plain_tree(make, prose, odd, depth):
     rows = [(i, prose(i % 9, 6 + i % 5) + ("é" if i % 4 else "")) for i in range(40)]
