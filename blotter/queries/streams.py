@@ -18,6 +18,7 @@ from blotter.queries.registry import query
 from blotter.queries.rows import wall_clock
 from blotter.session import scratch
 from blotter.sources.messages import TIMED, Topic, line_source, message_source, publish, publish_rows, published_source
+from blotter.sources.paged import stream_paged
 from blotter.sources.tables import Table, append, read_table
 from blotter.streaming import jobs
 from blotter.streaming.batches import ONCE, run_all
@@ -238,3 +239,21 @@ def stream_sql_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run_all([running], LIMIT)
     return answers(spark, answered.name)
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A paged dataset sent on while it grows, within its last page and beyond, with a restart
+    in between."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    url, state, topic = scratch(spark, "pages"), scratch(spark, "state"), Topic("file", scratch(spark, "sent"))
+    page = F.floor(F.col("event_id") / schemas.PAGE_ROWS).alias("page")
+    pages = events.select("event_id", page, F.to_json(F.struct(*events.columns)).alias("value"))
+    # An early and a late part: the page that both have records in grows.
+    cut = events.agg(F.max("event_id")).first()[0] * 5 // 8
+    for part in (pages.where(F.col("event_id") <= cut), pages.where(F.col("event_id") > cut)):
+        part.select("page", "value").repartition("page").write.mode("append").partitionBy("page").text(url)
+        stored = spark.read.text(url).select(F.input_file_name()).first()[0].split("/page=")[0]
+        stream = stream_paged(spark, stored, "event_id", pages_per_task=3)
+        run_all([jobs.publish_stream(stream, topic, state, ONCE)], LIMIT)
+    return spark.read.schema(events.schema).json(topic.name)

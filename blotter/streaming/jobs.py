@@ -18,7 +18,7 @@ from blotter.plans.ledger import Ledger
 from blotter.plans.release import release_counted, release_waiting
 from blotter.plans.requests import serve_pool, serve_requests
 from blotter.session import materialise
-from blotter.sources.messages import Topic
+from blotter.sources.messages import Topic, publish
 from blotter.sources.tables import Table, append, ensure_table, read_table
 from blotter.streaming.batches import run_batches
 
@@ -125,6 +125,13 @@ def ack_stream(
     return run_batches(stream, step, checkpoint, trigger)
 
 
+def publish_stream(
+    values: DataFrame, topic: Topic, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Every record of a stream, as of pages, sent on as one message, at least once."""
+    return run_batches(values, lambda batch, number: publish(batch, topic), checkpoint, trigger)
+
+
 def token_stream(
     lines: DataFrame, sink: Table, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from urllib.error import HTTPError, URLError
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -16,7 +17,9 @@ from blotter.sources.messages import (
 )
 from blotter.sources import paged
 from blotter.sources.guard import ForbiddenQuery
-from blotter.sources.paged import MissingPage, PageReader, count_pages, read_paged
+from blotter.sources.paged import (
+    MissingPage, PageReader, PageStreamReader, count_pages, read_paged, stream_paged,
+)
 from blotter.sources.tables import (
     Table, append, ensure_table, partitioned_jdbc, query_session, read_query, read_table,
 )
@@ -171,6 +174,68 @@ def test_short_pages_before_the_end_raise(monkeypatch):
             pulled_from(served(pages, monkeypatch))
 
 
+def new_records(reader: PageStreamReader, start: dict, end: dict) -> int:
+    return sum(1 for part in reader.partitions(start, end) for _ in reader.read(part))
+
+
+def test_a_stream_of_pages_takes_each_record_once(monkeypatch):
+    pages: list[int] = []
+    served(pages, monkeypatch)
+    options = {"url": "http://x", "order": "id", "page": "10", "pagesPerTask": "2"}
+    reader, offset, seen = PageStreamReader(options), {"page": 0, "rows": 0}, 0
+    grown = ([], [4], [9], [10], [10, 1], [10] * 7, [10] * 7 + [3], [10] * 12 + [9], [10] * 13)
+    for number, sizes in enumerate(grown):
+        pages[:] = sizes
+        if number % 3 == 2:  # a restart knows nothing but the committed offset
+            reader = PageStreamReader(options)
+        end = reader.latestOffset()
+        assert end == {"page": sum(sizes) // 10, "rows": sum(sizes) % 10}
+        came = new_records(reader, offset, end)
+        assert came == new_records(PageStreamReader(options), offset, end)  # a batch made again
+        pages.append(2)  # what comes after the offset was taken belongs to the next batch
+        assert came == new_records(reader, offset, end) == sum(sizes) - seen
+        offset, seen = end, sum(sizes)
+
+
+def test_a_stream_whose_page_loses_records_raises(spark, monkeypatch):
+    pages = [10, 10, 5]
+    served(pages, monkeypatch)
+    reader = PageStreamReader({"url": "http://x", "order": "id", "page": "10"})
+    end = reader.latestOffset()
+    pages[:] = [10, 10, 4]
+    with pytest.raises(MissingPage):
+        reader.latestOffset()
+    with pytest.raises(MissingPage):
+        new_records(reader, {"page": 0, "rows": 0}, end)
+    with pytest.raises(ValueError):
+        stream_paged(spark, "http://x", "")
+
+
+@pytest.mark.parametrize(
+    "failures, error, asked",
+    [(2, URLError("down"), 3), (3, URLError("down"), 3), (1, 503, 2), (1, 429, 2), (1, 404, 1), (1, 400, 1)],
+)
+def test_failed_requests_are_made_again(monkeypatch, failures, error, asked):
+    """Pauses before each request; a refusal, or the last of the attempts, is raised."""
+    calls, waits = [], []
+
+    def page(*_):
+        calls.append(1)
+        if len(calls) <= failures:
+            raise HTTPError("http://x", error, "", None, None) if isinstance(error, int) else error
+        return ["{}"]
+
+    monkeypatch.setattr(paged, "_http_page", page)
+    monkeypatch.setattr(paged.time, "sleep", waits.append)
+    reader = PageReader({"url": "http://x", "order": "id", "page": "10", "pause": "0.5"})
+    if failures >= asked:
+        with pytest.raises(URLError):
+            reader.fetch(0)
+    else:
+        assert reader.fetch(0) == ["{}"]
+    assert len(calls) == asked and waits[0] == 0.5 and sum(waits) == 0.5 * asked + 0.5 * (2 ** (asked - 1) - 1)
+
+
 def test_count_pages():
     for n in range(40):
         assert count_pages(lambda page: page < n) == n
