@@ -319,3 +319,15 @@ def test_a_deep_page_among_equal_keys(spark):
     rows = spark.range(3_000).select(F.lit(1).alias("a"), (F.col("id") % 2).alias("b"))
     page = ordering.page_slice(rows, 4, 1_498, ["a", "b"], fit=100).collect()
     assert [r.b for r in page] == [0, 0, 1, 1]
+
+
+def test_rows_are_placed_between_cuts_by_halving(spark):
+    keys = [(None, 1), (None, 5), (2, None), (2, 3), (4, 0), (9, 9)]
+    rows = spark.createDataFrame(keys, "a int, b int")
+    for n in range(len(keys) + 1):
+        cuts = [F.struct(F.lit(a).cast("int").alias("a"), F.lit(b).cast("int").alias("b")) for a, b in keys[:n]]
+        place = ordering._place(F.struct("a", "b"), cuts)
+        found = {(r.a, r.b): r.place for r in rows.withColumn("place", place).collect()}
+        assert found == {k: min(i + 1, n) for i, k in enumerate(keys)}
+    # Compiled as a whole: no function is called for each cut.
+    assert "*(" in (plan := rows.select(place)._jdf.queryExecution().executedPlan().toString()) and "lambda" not in plan
