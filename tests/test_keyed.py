@@ -13,7 +13,7 @@ from blotter.operators.keys import keep_last
 from blotter.sources.messages import MESSAGE, TIMED, Topic, message_source
 from blotter.sources.tables import Table, append
 from blotter.streaming.batches import ONCE, run_all
-from blotter.streaming.keyed import STATE_STORE, keyed_ingest_stream, loads
+from blotter.streaming.keyed import STATE_STORE, _first_seen, keyed_ingest_stream, keyed_rows, loads
 
 
 def at(second: int) -> datetime.datetime:
@@ -94,3 +94,19 @@ def test_clock_with_and_without_times(spark):
     assert keep_last(timed, "cmplnt_num", CLOCK).first().boro_nm == "timed"
     plain = flatten(decode_value(spark.createDataFrame([r[:3] for r in rows], MESSAGE)), schemas.INCIDENTS, "cmplnt_num")
     assert plain.columns[:3] == ["part", "off", "pos"]
+
+
+def test_keys_meet_their_state_without_python(spark, tmp_path):
+    spark.createDataFrame([], TIMED).write.parquet(str(tmp_path / "in"))
+    rows = keyed_rows(message_source(spark, Topic("file", str(tmp_path / "in")), timed=True), schemas.INCIDENTS, "cmplnt_num")
+    assert rows.isStreaming
+    plan = _first_seen(rows)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Pandas" not in plan
+
+
+def test_keys_stay_known_over_several_batches(job):
+    first = {f"k{i}": "one" for i in range(200)}
+    assert job(*((0, i, record(k, v), at(9)) for i, (k, v) in enumerate(first.items()))) == first
+    for number in range(2):  # earlier and later records of known keys, and no key at all
+        assert job((1, number, record("k5", "two"), at(number)), (2, number, record("k7", "three"), None)) == first
+    assert job() == first
