@@ -220,3 +220,42 @@ def _failing_on(real, mark):
         return real(self, data, schema, *rest, **more)
 
     return create
+
+
+def test_packed_values_of_a_part_of_a_batch():
+    packed = boosting._binary(np.arange(24, dtype=np.float64).reshape(6, 2, 2))
+    part = packed.slice(2, 3)
+    assert (boosting._values(part, np.float64) == np.arange(8, 20)).all()
+    assert len(boosting._values(packed.slice(6, 0), np.float64)) == 0
+
+
+def test_each_round_is_applied_to_the_rows_once(spark, rows, monkeypatch):
+    prepared, _ = model.prepare(rows, ["cmplnt_num"], k=3)
+    written, real = [], boosting._written
+
+    def count(state, cuts, shape, pending):
+        written.append(len(pending))
+        made = real(state, cuts, shape, pending)
+        assert made.count() == prepared.count()
+        return made
+
+    monkeypatch.setattr(boosting, "_written", count)
+    boosting.fit(prepared, 3, boosting.Params(rounds=3, depth=2))
+    assert written == [1, 1]  # nobody reads the margins after the last round
+
+
+def test_a_forest_keeps_the_nodes_of_its_rows(spark, rows):
+    prepared, _ = model.prepare(rows, ["cmplnt_num"], k=3)
+    assert model._forest({}).getCacheNodeIds()
+    kept, led = (model.train(prepared, numTrees=5, cacheNodeIds=c).stages[-1].toDebugString for c in (True, False))
+    strip = lambda text: text.partition("\n")[2]
+    assert strip(kept) == strip(led)
+
+
+def test_boosted_models_of_labels_are_fitted_side_by_side(spark, rows, monkeypatch):
+    prepared, _ = model.prepare(rows, ["cmplnt_num"], k=3)
+    side = model.train(prepared, "boosted", maxIter=2, maxDepth=2)
+    monkeypatch.setattr(model, "PARALLEL_FITS", 1)
+    single = model.train(prepared, "boosted", maxIter=2, maxDepth=2)
+    strip = lambda m: {c: one.toDebugString.partition("\n")[2] for c, one in m.items()}
+    assert list(side) == list(single) and strip(side) == strip(single)
