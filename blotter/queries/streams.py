@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blotter import schemas
 from blotter.bindings import (
     ACKS_SQL, INCIDENTS_SQL, RECORD, RECORD_COLUMNS, RECORDS_SQL, UNIQUE_SQL, acks, event_rows,
-    message_stream, messages, table, timed_messages, with_sql,
+    incidents as incident_rows, message_stream, messages, messages_of, table, timed_messages, with_sql,
 )
 from blotter.functions.messages import ARRIVAL, CLOCK, decode_value, flatten, valid_records
 from blotter.operators.keys import keep_last
@@ -157,29 +157,36 @@ def keep_last_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(last.select(*ARRIVAL, *RECORD))
 
 
+def _dealt(off: str) -> Column:
+    """Which of three batches a message is in, 0 to 2. All messages of a key that comes again
+    are in one, as the last of a batch counts."""
+    return F.coalesce(F.when(F.col(off) % 8 == 6, 0).otherwise(F.pmod(F.col(off), F.lit(3))), F.lit(0))
+
+
 @query(
     with_sql(INCIDENTS_SQL, RECORDS_SQL, UNIQUE_SQL, ACKS_SQL)
     + f""", sent AS (SELECT * REPLACE (date_trunc('millisecond', rpt_dt) AS rpt_dt) FROM uniq WHERE cmplnt_num NOT IN (SELECT id FROM acks))
 SELECT {RECORD_COLUMNS}, (SELECT count(*) FROM uniq) AS held_back, (SELECT count(*) FROM sent) AS waiting FROM sent"""
 )
 def release_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches stored behind a closed gate, some of them acknowledged, the rest released:
-    what was sent, how many rows the closed gate held back and how many waited at the end.
+    """Three batches stored behind a closed gate, with a restart after each, some of them
+    acknowledged, the rest released: what was sent, how many rows the closed gate held back
+    and how many waited at the end.
 
     Gates and counts come from the ledger, folded between batches.
     """
     incidents, acked = _parquet(spark, "incidents"), _parquet(spark, "acks")
     topic, sent = Topic("file", scratch(spark, "train")), Topic("file", scratch(spark, "sent"))
     ledger, reported = Ledger(scratch(spark, "ledger")), _parquet(spark, "metrics")
-    batches = scratch(spark, "messages")
-    # All messages of a key that comes again are in one batch, as the last of a batch counts.
-    dealt = F.when(F.col("off") % 8 == 6, 0).otherwise(F.col("off") % 3)
-    messages(spark, sf_dir).repartitionByRange(3, dealt).write.parquet(batches)
-    stream = message_source(spark, Topic("file", batches, {"maxFilesPerTrigger": "1"}))
-    storing = jobs.incident_stream(
-        stream, incidents, acked, topic, scratch(spark, "state"), ONCE, 1 << 40, reported, ledger
-    )
-    run_all([storing], LIMIT)
+    came, state = Topic("file", scratch(spark, "messages")), scratch(spark, "state")
+    # Written and parsed by many tasks, however few the events are read by.
+    spread = messages_of(incident_rows(spark, sf_dir).repartition("event_id"))
+    for number in range(3):
+        spread.where(_dealt("off") == number).write.mode("append").parquet(came.name)
+        storing = jobs.incident_stream(
+            message_source(spark, came), incidents, acked, topic, state, ONCE, 1 << 40, reported, ledger
+        )
+        run_all([storing], LIMIT)
     publish_rows(acks(spark, sf_dir).select(F.col("id").alias(schemas.INCIDENT_KEY)), sent)
     fold(spark, ledger, 1)
     returned = published_source(spark, sent)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.session import temporary_tables
@@ -25,7 +25,8 @@ def run_batches(
     ``step`` may see a batch again after a failure and must bear it.
     """
     def guarded(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
+        # One row of the first task that has any; isEmpty starts every task of the batch.
+        if batch.select(F.lit(1)).take(1):
             with temporary_tables(batch.sparkSession):
                 step(batch, number)
 

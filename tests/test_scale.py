@@ -169,3 +169,39 @@ def test_shared_folder_comes_from_the_session(spark):
     assert table.inputFiles()[0].removeprefix("file:").removeprefix("//").startswith(
         shared_dir(spark).removeprefix("file:").rstrip("/")
     )
+
+
+def test_batches_of_the_ledger_come_in_many_files(spark, tmp_path, monkeypatch):
+    """However few tasks read the events, many write and parse the messages of each batch."""
+    from pathlib import Path
+
+    from blotter.queries import streams
+
+    spark.range(1200, numPartitions=1).selectExpr(
+        "id as event_id", "timestamp_ntz '2024-01-01 00:00:00' as ts", "id % 90 as user_id", "'view' as event_type",
+        "cast(id as double) as value", "'{\"k\": 1}' as props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(5).selectExpr("id as r_regionkey", "concat('R', id) as r_name").write.parquet(f"{tmp_path}/region.parquet")
+    spark.range(100).selectExpr("id as o_orderkey", "'F' as o_orderstatus").write.parquet(f"{tmp_path}/orders.parquet")
+    paths, real = {}, streams.scratch
+    monkeypatch.setattr(streams, "scratch", lambda s, label: paths.setdefault(label, real(s, label)) if label == "messages" else real(s, label))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = streams.release_ledger(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [f.name.split("-")[2] for f in Path(paths["messages"].removeprefix("file:")).glob("*.parquet")]
+    assert len(files) == 3 * 4 and len(set(files)) == 3
+    # Of each eight events two have a key of their own, one has two, one a key of its user;
+    # 25 of the acknowledged orders are among the first two.
+    assert {(r.held_back, r.waiting) for r in rows} == {(4 * 150 + 45, 4 * 150 + 45 - 26)}
+    assert len(rows) == 4 * 150 + 45 - 26
+
+
+def test_every_message_is_dealt_to_one_of_three_batches(spark):
+    from blotter.queries.streams import _dealt
+
+    offs = spark.createDataFrame([(i,) for i in (None, -7, -1, 0, 4, 5, 6, 14, 22)], "off long")
+    assert {r[0]: r[1] for r in offs.select("off", _dealt("off")).collect()} == {
+        None: 0, -7: 2, -1: 2, 0: 0, 4: 1, 5: 2, 6: 0, 14: 0, 22: 0
+    }

@@ -197,6 +197,17 @@ def test_replayed_batches_add_no_rejects(spark, place):
         assert read_table(spark, place.rejected).count() == 4
 
 
+def test_a_batch_is_known_not_to_be_empty_by_one_task(spark, place):
+    for part in range(20):
+        send(spark, place.topic, part, 0, [record("a")])
+    seen = []
+    query = run_batches(message_source(spark, place.topic), lambda batch, number: seen.append(number), place.state, ONCE)
+    run_all([query], 120)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(job).stageIds]
+    assert seen == [0] and sum(tracker.getStageInfo(s).numTasks for s in stages) == 1
+
+
 def test_supervisor_may_wait_for_any_stream(spark, place, tmp_path):
     send(spark, place.topic, 0, 0, [record("a")])
     source = message_source(spark, place.topic)
