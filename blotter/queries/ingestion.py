@@ -19,7 +19,7 @@ from blotter.queries.registry import query
 from blotter.queries.rows import wall_clock
 from blotter.session import materialise, scratch
 from blotter.sources.messages import Topic, publish, publish_rows
-from blotter.sources.paged import read_paged
+from blotter.sources.paged import paged_folder, read_paged
 from blotter.sources.tables import Table, append, ensure_table, query_session, read_query, read_table
 
 KEY = schemas.INCIDENT_KEY
@@ -291,9 +291,7 @@ def _served(
     page = F.floor(F.col("event_id") / schemas.PAGE_ROWS).alias("page")
     pages = events.select(page, F.to_json(F.struct(*events.columns)).alias("value"))
     pages.repartition("page").write.partitionBy("page").text(url)
-    # The folder as the executors' file system names it.
-    stored = spark.read.text(url).select(F.input_file_name()).first()[0].split("/page=")[0]
-    pulled = read_paged(spark, stored, "event_id", pages_per_task=3, where=where)
+    pulled = read_paged(spark, paged_folder(spark, url), "event_id", pages_per_task=3, where=where)
     return pulled, events.schema
 
 

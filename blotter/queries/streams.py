@@ -18,7 +18,7 @@ from blotter.queries.registry import query
 from blotter.queries.rows import wall_clock
 from blotter.session import scratch
 from blotter.sources.messages import TIMED, Topic, line_source, message_source, publish, publish_rows, published_source
-from blotter.sources.paged import stream_paged
+from blotter.sources.paged import paged_folder, stream_paged
 from blotter.sources.tables import Table, append, read_table
 from blotter.streaming import jobs
 from blotter.streaming.batches import ONCE, run_all
@@ -260,7 +260,6 @@ def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = events.agg(F.max("event_id")).first()[0] * 5 // 8
     for part in (pages.where(F.col("event_id") <= cut), pages.where(F.col("event_id") > cut)):
         part.select("page", "value").repartition("page").write.mode("append").partitionBy("page").text(url)
-        stored = spark.read.text(url).select(F.input_file_name()).first()[0].split("/page=")[0]
-        stream = stream_paged(spark, stored, "event_id", pages_per_task=3)
+        stream = stream_paged(spark, paged_folder(spark, url), "event_id", pages_per_task=3)
         run_all([jobs.publish_stream(stream, topic, state, ONCE)], LIMIT)
     return spark.read.schema(events.schema).json(topic.name)

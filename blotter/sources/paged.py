@@ -18,7 +18,7 @@ import urllib.parse
 import urllib.request
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, InputPartition,
 )
@@ -26,6 +26,10 @@ from pyspark.sql.datasource import (
 from blotter import schemas
 
 
+#: Tasks that one read or batch starts at most, or four a core if that is more.
+MOST_TASKS = 200
+
+
 class MissingPage(ValueError):
     """A page that is missing, or too short, before the end of the dataset."""
 
@@ -102,6 +106,7 @@ class PageReader(DataSourceReader):
         self.order = options["order"]
         self.size = int(options["page"])
         self.per_task = int(options.get("pagesPerTask", 50))
+        self.tasks = int(options.get("tasks", MOST_TASKS))
         self.where = json.loads(options.get("where", "{}"))
         self.pause = float(options.get("pause", 0))
         self.attempts = int(options.get("attempts", 3))
@@ -130,8 +135,14 @@ class PageReader(DataSourceReader):
             return count_pages(lambda page: bool(self.fetch(page)))
         return _stored_pages(self.url)
 
+    def step(self, pages: int) -> int:
+        """How many of so many pages one task asks for: more, not more tasks, once these are
+        many, as each starts a process, takes a place in the plan and writes a file."""
+        return max(self.per_task, -(-pages // self.tasks))
+
     def partitions(self) -> list[PageRange]:
-        starts = list(range(0, max(1, self.pages()), self.per_task))
+        pages = self.pages()
+        starts = list(range(0, max(1, pages), self.step(pages)))
         return [PageRange(a, b) for a, b in zip(starts, [*starts[1:], None])]
 
     def wanted(self, record: str) -> bool:
@@ -195,7 +206,7 @@ class PageStreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[PagePart]:
         last = end["page"] + (end["rows"] > 0)
-        step = self.reader.per_task
+        step = self.reader.step(last - start["page"])
         return [
             PagePart(first, min(first + step, last), start["rows"] * (first == start["page"]),
                      end["page"], end["rows"])
@@ -219,8 +230,9 @@ class PageStreamReader(DataSourceStreamReader):
 
 
 class PagedSource(DataSource):
-    """Options: url, order, page, pagesPerTask, where (JSON object of column and text), and
-    for servers pause (seconds before each request) and attempts."""
+    """Options: url, order, page, pagesPerTask, tasks (beyond so many, tasks take more pages
+    each), where (JSON object of column and text), and for servers pause (seconds before
+    each request) and attempts."""
 
     @classmethod
     def name(cls) -> str:
@@ -243,12 +255,18 @@ def _configured(source, spark, url, order, page, pages_per_task, where, pause, a
     # Executors then need no copy of this module.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedSource)
+    tasks = max(MOST_TASKS, 4 * spark.sparkContext.defaultParallelism)
     return source.format("paged").options(
-        url=url, order=order, page=str(page), pagesPerTask=str(pages_per_task),
+        url=url, order=order, page=str(page), pagesPerTask=str(pages_per_task), tasks=str(tasks),
         where=json.dumps(where or {}), pause=str(pause), attempts=str(attempts),
     )
 
 
+def paged_folder(spark: SparkSession, path: str) -> str:
+    """A folder of pages as the executors' file system names it; lists its first page alone."""
+    return spark.read.text(f"{path}/page=0").select(F.input_file_name()).first()[0].split("/page=")[0]
+
+
 def read_paged(
     spark: SparkSession,
     url: str,

@@ -174,6 +174,34 @@ def test_short_pages_before_the_end_raise(monkeypatch):
             pulled_from(served(pages, monkeypatch))
 
 
+def test_very_many_pages_make_bounded_tasks(monkeypatch):
+    """A task takes more pages then, each record still comes once."""
+    pages = [10] * 1000 + [3]
+    reader = served(pages, monkeypatch)
+    assert len(reader.partitions()) <= paged.MOST_TASKS and pulled_from(reader) == 10_003
+    stream = PageStreamReader({"url": "http://x", "order": "id", "page": "10", "pagesPerTask": "2"})
+    start, end = {"page": 5, "rows": 4}, stream.latestOffset()
+    assert len(stream.partitions(start, end)) <= paged.MOST_TASKS
+    assert new_records(stream, start, end) == 10_003 - 54
+    few = served(pages, monkeypatch, tasks="7")
+    assert len(few.partitions()) <= 7 and pulled_from(few) == 10_003
+
+
+def test_the_folder_of_pages_is_found_by_its_first_page(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id as page", "'{}' as value")
+    rows.coalesce(1).write.partitionBy("page").text(f"{tmp_path}/pages")
+    context = spark.sparkContext
+    context.setJobGroup("folder", "")
+    try:
+        found = paged.paged_folder(spark, f"{tmp_path}/pages")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert found.removeprefix("file:").replace("//", "") == f"{tmp_path}/pages"
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("folder") for s in tracker.getJobInfo(job).stageIds]
+    assert sum(tracker.getStageInfo(s).numTasks for s in stages) == 1  # nobody lists the others
+
+
 def new_records(reader: PageStreamReader, start: dict, end: dict) -> int:
     return sum(1 for part in reader.partitions(start, end) for _ in reader.read(part))
 
