@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -259,3 +260,26 @@ def test_boosted_models_of_labels_are_fitted_side_by_side(spark, rows, monkeypat
     single = model.train(prepared, "boosted", maxIter=2, maxDepth=2)
     strip = lambda m: {c: one.toDebugString.partition("\n")[2] for c, one in m.items()}
     assert list(side) == list(single) and strip(side) == strip(single)
+
+
+def test_the_forest_search_draws_from_the_whole_space(spark, rows, monkeypatch):
+    from blotter.queries import models
+
+    prepared = model.prepare(rows, ["cmplnt_num"], k=3)
+    seen = {}
+
+    class Search:
+        def __init__(self, **given):
+            seen.update(given)
+
+        def fit(self, used):
+            seen["rows"] = used.count()
+            return SimpleNamespace(bestModel=None, avgMetrics=[0.5] * len(seen["estimatorParamMaps"]))
+
+    monkeypatch.setattr(models, "incidents", lambda *_: None)
+    monkeypatch.setattr(model, "prepare", lambda *_: prepared)
+    monkeypatch.setattr(model, "CrossValidator", Search)
+    assert models.param_search(spark, "").where("fresh and sound").count() == 12
+    maps = [{param.name: value for param, value in one.items()} for one in seen["estimatorParamMaps"]]
+    assert maps == model.draw_params(model.FOREST_GRID, 12) and seen["numFolds"] == 3
+    assert seen["rows"] == prepared[0].where("not is_test").count()
