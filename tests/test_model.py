@@ -283,3 +283,48 @@ def test_the_forest_search_draws_from_the_whole_space(spark, rows, monkeypatch):
     maps = [{param.name: value for param, value in one.items()} for one in seen["estimatorParamMaps"]]
     assert maps == model.draw_params(model.FOREST_GRID, 12) and seen["numFolds"] == 3
     assert seen["rows"] == prepared[0].where("not is_test").count()
+
+
+def _same_trees(one, other):
+    assert len(one.rounds) == len(other.rounds)
+    for a, b in zip((t for r in one.rounds for t in r), (t for r in other.rounds for t in r)):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and (a.value == b.value).all()
+
+
+def test_a_search_finds_the_same_in_tasks_and_in_passes(spark, monkeypatch):
+    """Small rows are held by each task, which grows a whole model; large ones are passed over."""
+    rng = np.random.default_rng(7)
+    x = np.round(rng.random((240, 3)) * [1, 8, 1], 2)
+    y = (x[:, 0] > 0.6) + (x[:, 0] + x[:, 1] / 8 > 1.2) * 1
+    lost = rng.random(240) < 0.1  # no number among the features
+    data = [(str(i % 230), float(y[i]), x[i, 0], x[i, 1] if not lost[i] else None, 5.0) for i in range(240)]
+    rows = spark.createDataFrame([tuple(v if v is None or isinstance(v, str) else float(v) for v in r) for r in data],
+                                 "cmplnt_num string, y double, a double, b double, c double").repartition(3)
+    draws = [
+        boosting.Params(rounds=3, depth=4, rate=0.3, rows=0.6, columns=0.7),
+        boosting.Params(rounds=2, depth=2, rate=0.1, rows=1.0, columns=1.0),
+    ]
+    held, scores = boosting.search(rows, 3, draws, 3, ["a", "b", "c"])
+    monkeypatch.setattr(boosting, "HELD_BYTES", 0)
+    passed, other = boosting.search(rows, 3, draws, 3, ["a", "b", "c"])
+    assert scores == other and [p for p, _ in scores] == draws
+    _same_trees(held, passed)
+
+
+def test_the_softmax_search_draws_from_the_whole_space(spark, rows, monkeypatch):
+    from blotter.queries import models
+
+    prepared = model.prepare(rows, ["cmplnt_num"], k=3)
+    seen = []
+
+    def search(used, labels, draws, folds):
+        seen.append((used.count(), draws, folds))
+        return boosting.Softmax(labels, [np.empty(0)] * 9), [(d, 0.5) for d in draws]
+
+    monkeypatch.setattr(models, "incidents", lambda *_: rows.withColumn("event_id", F.col("cmplnt_num").cast("long")))
+    monkeypatch.setattr(model, "prepare", lambda *_: prepared)
+    monkeypatch.setattr(boosting, "search", search)
+    assert models.search_softmax(spark, "").count() == 12
+    combinations = len(model.hashed_draws(boosting.SOFTMAX_GRID, 1000))
+    assert seen == [(prepared[0].where("not is_test").count(), model.hashed_draws(boosting.SOFTMAX_GRID, 12), 3)]
+    assert combinations == 432 and max(d.rounds for d in seen[0][1]) == 500 and max(d.depth for d in seen[0][1]) == 10
