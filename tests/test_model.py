@@ -305,6 +305,9 @@ def test_a_search_finds_the_same_in_tasks_and_in_passes(spark, monkeypatch):
         boosting.Params(rounds=2, depth=2, rate=0.1, rows=1.0, columns=1.0),
     ]
     held, scores = boosting.search(rows, 3, draws, 3, ["a", "b", "c"])
+    base = boosting.Softmax(3, held.cuts)
+    assert boosting._held(rows, base, ["a", "b", "c"], F.lit(0), 10).codes.shape == (3, 240)
+    assert boosting._held(rows, base, ["a", "b", "c"], F.lit(0), 20) is None  # a level too wide for a task
     monkeypatch.setattr(boosting, "HELD_BYTES", 0)
     passed, other = boosting.search(rows, 3, draws, 3, ["a", "b", "c"])
     assert scores == other and [p for p, _ in scores] == draws
